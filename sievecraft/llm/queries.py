@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: One module per operator; each has QUERIES and ORACLES.
-MODULES = ["licenses"]
+MODULES = ["chat", "mixing", "licenses"]
 
 
 def _gather(kind: str) -> dict:
