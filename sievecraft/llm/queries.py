@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: One module per operator; each has QUERIES and ORACLES.
-MODULES = ["chat", "mixing", "licenses", "warc", "hamming_search", "substring_dedup", "simhash", "decontamination", "toxicity"]
+MODULES = ["chat", "mixing", "licenses", "warc", "hamming_search", "substring_dedup", "simhash", "decontamination", "toxicity", "context_mixing"]
 
 
 def _gather(kind: str) -> dict:
