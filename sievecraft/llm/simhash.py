@@ -26,6 +26,7 @@ other rows share its fingerprint's component; an empty table gives an empty resu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -35,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievecraft.llm.bytescan import mixed
 from sievecraft.llm.common import materialise, no_clash, table
 from sievecraft.llm.components import components
 
@@ -54,28 +56,40 @@ def triples() -> list[tuple[int, int, int]]:
 TRIPLES = triples()
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Of lower-cased tokens; shorter texts are one shingle, blank ones have zero."""
-    words = text.lower().split()
+def _hashes(text: bytes, shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of the shingles of lower-cased tokens, repeats included; shorter texts are one shingle."""
+    words = text.lower().split()  # ASCII white space of bytes.split() is exactly that of the token rule
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words))
     end = np.cumsum(size + 1) - 1
     n = max(1, len(words) - shingle + 1)
     start, stop = (end - size)[:n].tolist(), end[-n:].tolist()
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, np.int64)
-    for part in range(0, n, 1 << 16):
-        hashes = np.array([digest(joined[a:b], seed) for a, b in zip(start[part : part + (1 << 16)], stop[part : part + (1 << 16)], strict=True)], np.uint64)
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(start, stop, strict=True)), np.uint64, n)
+
+
+def _ones(words: np.ndarray) -> np.ndarray:
+    """How many rows have each bit; sums of 255 rows fit into bytes."""
+    bits = words.shape[1] * 64
+    counts = np.zeros(bits, np.int64)
+    for part in range(0, len(words), 255 * 64):
+        own = np.unpackbits(words[part : part + 255 * 64].view(np.uint8).reshape(-1, bits // 8), axis=1, bitorder="little")
+        for k in range(0, len(own), 255):
+            counts += own[k : k + 255].sum(axis=0, dtype=np.uint8)
+    return counts
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """64 bits, set where over half of the shingle hashes have them; blank texts have zero."""
+    hashes = _hashes(text, shingle, seed)
+    return int(np.packbits(2 * _ones(hashes[:, None]) > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            # ASCII white space of bytes.split() is exactly that of the token rule
             values = np.array([fingerprint(t or b"", shingle) for t in b.column("text").cast(pa.binary()).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*b.drop_columns(["text"]).columns, pa.array(values.view(np.int64))], names=[*b.drop_columns(["text"]).schema.names, "fingerprint"])
 
@@ -170,6 +184,105 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(found, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+#: Wide fingerprints, for similarities that 64 bits cannot tell: 512 bits, in lists by two bytes.
+WIDE_WORDS, WIDE_SHINGLE, SIMILARITY = 8, 5, 0.8
+_SPREAD = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % 2**64 for i in range(WIDE_WORDS)], np.uint64)
+_PAIRS = [(2 * i, 2 * i + 1) for i in range(32)] + [(i, i + 32) for i in range(32)]
+
+
+def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
+    hashes = _hashes(text, shingle, SEED)
+    out = np.zeros(WIDE_WORDS * 64, np.int64)
+    for part in range(0, len(hashes), 1 << 15):
+        out += _ones(mixed(hashes[part : part + (1 << 15), None] * _SPREAD[None, :]))
+    return np.packbits(2 * out > len(hashes), bitorder="little").tobytes()
+
+
+def most_bits(similarity: float) -> int:
+    """The expected distance of wide fingerprints of texts of this Jaccard similarity, and one deviation more."""
+    angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits = WIDE_WORDS * 64
+    return int(bits * angle + math.sqrt(bits * angle * (1 - angle)))
+
+
+def _wide(shingle: int):
+    def run(batches):
+        for b in batches:
+            values = [wide_fingerprint(t or b"", shingle) for t in b.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(values, pa.binary())], names=["doc_id", "fingerprint"])
+
+    return run
+
+
+def _postings(lists: int):
+    """Entries of the lists by two positional bytes: list, id, and the first word to look at before all others."""
+    schema = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("id", pa.binary()), ("sketch", pa.binary())])
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            codes = np.frombuffer(b"".join(b.column("fingerprint").to_pylist()), np.uint8).reshape(b.num_rows, -1)
+            ids, sketch = b.column("node").to_numpy(zero_copy_only=False).astype(np.int64), codes[:, :8].copy().view(np.uint64)[:, 0]
+            key = np.stack([(n << 16) + codes[:, i].astype(np.int64) * 256 + codes[:, j] for n, (i, j) in enumerate(_PAIRS)], axis=1).ravel()
+            row = np.repeat(np.arange(len(ids)), len(_PAIRS))
+            bucket = (mixed(key.astype(np.uint64)) % np.uint64(lists)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+            rows = [(int(bucket[p[0]]), key[p].astype(np.int32).tobytes(), ids[row[p]].tobytes(), sketch[row[p]].tobytes()) for p in np.split(order, cuts)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    return run
+
+
+def _candidates(batches):
+    """At most two candidates for each entry: the first and the nearest one before it in the list that its sketch allows."""
+    parts = [(np.frombuffer(k, np.int32), np.frombuffer(i, np.int64), np.frombuffer(s, np.uint64)) for b in batches for k, i, s in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+    if not parts:
+        return
+    key, ids, sketch = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((ids, key))
+    key, ids, sketch = key[order], ids[order], sketch[order]
+    cuts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+    found = []
+    for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        for at in range(a + 1, z, 512):
+            own = np.arange(at, min(at + 512, z))
+            far = np.bitwise_count(sketch[own][:, None] ^ sketch[a : own[-1]][None, :]).astype(np.int16)
+            far[np.arange(a, own[-1])[None, :] >= own[:, None]] = 64
+            near = far <= 20
+            has = near.any(axis=1)
+            for pick in (near.argmax(axis=1)[has], far.argmin(axis=1)[has]):
+                found.append(np.stack((ids[a + pick], ids[own[has]]), axis=1))
+    if found:
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, fingerprint (512 bits) and component_id of texts of about this Jaccard similarity of shingles or more.
+
+    Two such texts share each positional byte with a chance of a quarter at 0.8, so
+    they nearly always meet in some of 64 lists by two bytes; unlike the search within 4
+    bits, that is a matter of chance, and so is the estimate of similarity by
+    fingerprints.  In a list, each entry is tried with the first and the nearest entry
+    before it whose sketches allow it, and pairs are verified by all 512 bits.
+    """
+    rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text")
+    rows = materialise(rows.mapInArrow(_wide(shingle), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fingerprint binary"), "wide")
+    nodes = materialise(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.xxhash64("fingerprint").alias("node")), "nodes")
+    buckets = max(8, -(-nodes.count() // 4000))
+    posted = nodes.mapInArrow(_postings(buckets), "bucket int, key binary, id binary, sketch binary").repartition(buckets, "bucket")
+    pairs = posted.mapInArrow(_candidates, "a long, b long").distinct()
+    code = nodes.select("node", *[F.conv(F.hex(F.substring("fingerprint", 8 * i + 1, 8)), 16, -10).cast("long").alias(f"w{i}") for i in range(WIDE_WORDS)])
+    side = lambda n: code.select(F.col("node").alias(n), *[F.col(f"w{i}").alias(f"{n}{i}") for i in range(WIDE_WORDS)])
+    far = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, WIDE_WORDS)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
+    linked = pairs.join(side("a"), "a").join(side("b"), "b").filter(far <= most_bits(similarity)).select("a", "b")
+    named = nodes.join(components(linked), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    return rows.join(named.join(smallest, "component").select("fingerprint", "component_id"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
 def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

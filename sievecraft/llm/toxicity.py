@@ -250,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Field
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
 
-def _scored(model: Field | None):
+def _scored(model: Field | None, with_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             scores, spans = [], []
@@ -262,16 +262,19 @@ def _scored(model: Field | None):
                 _, at, marginals = model.tag(text or b"")
                 scores.append(model.score(marginals))
                 spans.append(model.offsets(text or b"", at, marginals))
-            rest = b.drop_columns(["text"])
+            rest = b if with_text else b.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(scores, pa.float64()), pa.array(spans, _SPANS)], names=[*rest.schema.names, "score", "spans"])
 
     return run
 
 
-def score(docs: DataFrame, model: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents with ``score`` and the byte offsets of toxic tokens with their marginals."""
-    rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text")
-    return rows.mapInArrow(_scored(model), f"doc_id {docs.schema[id_col].dataType.simpleString()}, score double, spans array<struct<start: long, end: long, p: double>>")
+def score(docs: DataFrame, model: Field | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_text: bool = False) -> DataFrame:
+    """Documents with ``score`` and the byte offsets of toxic tokens with their marginals; ``keep``: columns to carry along."""
+    names = [f"c{i}" for i in range(len(keep))]
+    rows = no_clash(docs, id_col, text_col, *keep).toDF("doc_id", "text", *names)
+    types = [f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("doc_id", *(["text"] if with_text else []), *names)]
+    out = rows.mapInArrow(_scored(model, with_text), ", ".join(types) + ", score double, spans array<struct<start: long, end: long, p: double>>")
+    return out.toDF(id_col, *([text_col] if with_text else []), *keep, "score", "spans")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
