@@ -187,7 +187,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 #: Wide fingerprints, for similarities that 64 bits cannot tell: 512 bits, in lists by two bytes.
 WIDE_WORDS, WIDE_SHINGLE, SIMILARITY = 8, 5, 0.8
 _SPREAD = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % 2**64 for i in range(WIDE_WORDS)], np.uint64)
-_PAIRS = [(2 * i, 2 * i + 1) for i in range(32)] + [(i, i + 32) for i in range(32)]
+_PAIRS = [(2 * i, 2 * i + 1) for i in range(32)] + [(i, i + 32) for i in range(32)] + [(i, (i + 7) % 32 + 32) for i in range(32)]
 
 
 def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
@@ -199,10 +199,10 @@ def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
 
 
 def most_bits(similarity: float) -> int:
-    """The expected distance of wide fingerprints of texts of this Jaccard similarity, and one deviation more."""
+    """The expected distance of wide fingerprints of texts of this Jaccard similarity, and 1.75 deviations more."""
     angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
     bits = WIDE_WORDS * 64
-    return int(bits * angle + math.sqrt(bits * angle * (1 - angle)))
+    return int(bits * angle + 1.75 * math.sqrt(bits * angle * (1 - angle)))
 
 
 def _wide(shingle: int):
@@ -263,7 +263,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     """doc_id, fingerprint (512 bits) and component_id of texts of about this Jaccard similarity of shingles or more.
 
     Two such texts share each positional byte with a chance of a quarter at 0.8, so
-    they nearly always meet in some of 64 lists by two bytes; unlike the search within 4
+    they nearly always meet in some of 96 lists by two bytes; unlike the search within 4
     bits, that is a matter of chance, and so is the estimate of similarity by
     fingerprints.  In a list, each entry is tried with the first and the nearest entry
     before it whose sketches allow it, and pairs are verified by all 512 bits.
