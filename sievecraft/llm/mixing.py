@@ -70,17 +70,17 @@ def mix(sized: DataFrame, weights=WEIGHTS, epochs: float = EPOCHS, share: float
     plan = plan.withColumn("_rest", (F.floor("target") - F.col("_whole") * F.col("source_size")).cast("long"))
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     up_to = W.partitionBy("source").orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cut = ranges.withColumn("_before", F.sum("_in").over(up_to) - F.col("_in"))
-    cut = cut.join(plan.select("source", "_rest"), same(cut, plan), "inner").select(cut["source"], "_range", "_before", "_in", "_rest")
-    cut = cut.filter((F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_in"))).select("source", F.col("_range").alias("_cut"), "_before")
-    plan = plan.join(cut, same(plan, cut), "left").select(plan["*"], "_cut", "_before")
-    joined = rows.join(plan, same(rows, plan), "left").select(rows["*"], *[c for c in plan.columns if c not in ("source", "weight")])
+    ranges = ranges.withColumn("_before", F.sum("_in").over(up_to) - F.col("_in"))
+    ranges = ranges.join(plan, same(ranges, plan)).select(ranges["*"], *[c for c in plan.columns if c not in ("source", "weight")])
+    # Rows meet their plan by source and range, so no source is in one task.
+    both = same(rows, ranges) & (rows["_range"] == ranges["_range"])
+    joined = rows.join(ranges, both).select(rows["*"], *[c for c in ranges.columns if c not in ("source", "_range")])
     # Rows of the range with the cut stand in order; for all others the range decides.
-    at_cut = F.col("_range").eqNullSafe(F.col("_cut"))
-    place = W.partitionBy("source").orderBy("_h", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    at_cut = (F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_in"))
+    place = W.partitionBy("source", "_range").orderBy("_h", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
     left = F.col("_rest") - F.col("_before") - (F.sum("size").over(place) - F.col("size"))
     inside = joined.filter(at_cut).withColumn("_more", F.greatest(F.lit(0), F.least(F.col("size"), left)))
-    outside = joined.filter(~at_cut).withColumn("_more", F.when(F.col("_cut").isNull() | (F.col("_range") > F.col("_cut")), F.lit(0)).otherwise(F.col("size")))
+    outside = joined.filter(~at_cut).withColumn("_more", F.when(F.col("_before") < F.col("_rest"), F.col("size")).otherwise(F.lit(0)))
     taken = (F.col("_whole") * F.col("size") + F.col("_more")).cast("long")
     return inside.unionByName(outside).withColumn("taken", taken).select(*sized.columns, "source_size", "target", "taken")
 
