@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,11 +50,13 @@ PIECE = 1 << 22
 RANGE_BYTES = 1 << 23
 _INDEX = np.uint64((1 << 24) - 1)
 
-_KEY = "k1 long, k2 long"
 _QUERY = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("names", pa.binary()), ("extra", pa.binary()), ("doc", pa.binary()), ("start", pa.binary()), ("n", pa.binary()), ("k1", pa.binary()), ("k2", pa.binary())])
 _QUERY_DDL = "bucket int, kind int, names binary, extra binary, doc binary, start binary, n binary, k1 binary, k2 binary"
-_REPLY = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("ranges", pa.binary())])
-_REPLY_DDL = f"{_KEY}, ranges binary"
+#: Ranges of windows on their way back, packed by part (a hash range of row keys).
+_REPLY = pa.schema([("part", pa.int32()), *[(x, pa.binary()) for x in ("k1", "k2", "kinds", "start", "n")]])
+_REPLY_DDL = "part int, k1 binary, k2 binary, kinds binary, start binary, n binary"
+_BY_DOC = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("ranges", pa.binary())])
+_BY_DOC_DDL = "k1 long, k2 long, ranges binary"
 #: Kinds of ranges: windows known to be repeats; windows to be ranked in round 2; both.
 FULL, RANK, BOTH = 1, 2, 3
 
@@ -99,29 +102,48 @@ def _packed(bucket: np.ndarray, kind: int, names, extra, doc, start, n, keys) ->
     rows = []
     for part in np.split(order, cuts[1:]) if len(order) else []:
         docs, at = np.unique(doc[part], return_inverse=True)
-        rows.append((int(bucket[part[0]]), kind, names[part].tobytes(), extra[part].tobytes(), at.astype(np.int32).tobytes(), start[part].astype(np.int64).tobytes() if start.dtype == np.int64 and start.max(initial=0) >> 31 else start[part].astype(np.int32).tobytes(), n[part].astype(np.int16).tobytes(), keys[0][docs].tobytes(), keys[1][docs].tobytes()))
+        small = np.uint16 if len(docs) < 1 << 16 else np.int32
+        wide = np.int64 if start[part].max() >> 31 else np.int32
+        sizes = np.empty(0, np.int16) if n is None else n[part].astype(np.int16)
+        arrays = (names[part], extra[part], at.astype(small), start[part].astype(wide), sizes, keys[0][docs], keys[1][docs])
+        rows.append((int(bucket[part[0]]), kind, *(x.tobytes() for x in arrays)))
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _QUERY, strict=True)], schema=_QUERY)
 
 
-def _ranges(kinds: np.ndarray, start: np.ndarray, n: np.ndarray) -> bytes:
-    return np.stack((kinds.astype(np.int64), start.astype(np.int64), n.astype(np.int64)), axis=1).tobytes()
-
-
-def _replies(kinds, doc, start, n, keys) -> pa.RecordBatch:
-    """One row for each document that has ranges."""
-    order = np.argsort(doc, kind="stable")
-    cuts = np.flatnonzero(np.diff(doc[order])) + 1
-    rows = [(int(keys[0][doc[p[0]]]), int(keys[1][doc[p[0]]]), _ranges(kinds[p], start[p], n[p])) for p in np.split(order, cuts) if len(p)]
-    cols = list(zip(*rows, strict=True)) or [[], [], []]
+def _replies(kinds, doc, start, n, keys, parts: int) -> pa.RecordBatch:
+    """One row for each part that has ranges."""
+    k1, k2 = keys[0][doc], keys[1][doc]
+    part = (k2.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order])) + 1
+    arrays = (k1, k2, np.asarray(kinds, np.int64), np.asarray(start, np.int64), np.asarray(n, np.int64))
+    rows = [(int(part[p[0]]), *(x[p].tobytes() for x in arrays)) for p in np.split(order, cuts) if len(p)]
+    cols = list(zip(*rows, strict=True)) or [[]] * len(_REPLY)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _REPLY, strict=True)], schema=_REPLY)
 
 
 def _as_queries(replies: pa.RecordBatch) -> pa.RecordBatch:
-    """Local decisions travel with the queries, in rows of kind 1; any bucket will do."""
-    rows = [(k2 & 0x3FFF, 1, r, b"", b"", b"", b"", np.int64(k1).tobytes(), np.int64(k2).tobytes()) for k1, k2, r in zip(*(c.to_pylist() for c in replies.columns), strict=True)]
-    cols = list(zip(*rows, strict=True)) or [[]] * len(_QUERY)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _QUERY, strict=True)], schema=_QUERY)
+    """Local decisions travel with the queries, in rows of kind 1."""
+    part, k1, k2, kinds, start, n = replies.columns
+    none = pa.array([b""] * len(part), pa.binary())
+    return pa.RecordBatch.from_arrays([part, pa.array([1] * len(part), pa.int32()), none, kinds, none, start, n, k1, k2], schema=_QUERY)
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All ranges of a part, one row for each document."""
+    found = [[np.frombuffer(x, np.int64) for x in row] for b in batches for row in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+    if not found:
+        return
+    k1, k2, kinds, start, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    order, by = _runs((k1, k2))
+    ranges = np.stack((kinds, start, n), axis=1)[order]
+    cuts = np.flatnonzero(np.diff(by, prepend=-1))
+    k1, k2 = k1[order][cuts], k2[order][cuts]
+    for at in range(0, len(cuts), 5000):
+        ends = np.append(cuts, len(order))[at + 1 : at + 5001]
+        rows = [ranges[a:b].tobytes() for a, b in zip(cuts[at : at + 5000], ends, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(k1[at : at + 5000]), pa.array(k2[at : at + 5000]), pa.array(rows, pa.binary())], schema=_BY_DOC)
 
 
 def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +186,7 @@ def _round1_map(length: int, buckets: int):
                 kinds = np.where(copies[by_context] > 1, FULL, 0)
                 kinds[head] |= np.where(many, RANK, 0)
                 if (local := np.flatnonzero(kinds)).size:
-                    yield _as_queries(_replies(kinds[local], doc[local], start[local], n[local], keys))
+                    yield _as_queries(_replies(kinds[local], doc[local], start[local], n[local], keys, buckets))
                 sent = head[np.concatenate(([True], h_name[1:] != h_name[:-1]))]  # one row a name
                 state = np.where(many[by_context[sent]], 3, np.where(copies[by_context[sent]] > 1, 2, 1)).astype(np.uint64)
                 extra = (context[sent] & ~np.uint64(3)) | state
@@ -177,49 +199,48 @@ def _unpack(batches: Iterator[pa.RecordBatch], extra_type):
     """Pass local decisions through at once; return the packed queries as arrays."""
     parts, k1, k2, base = [], [], [], 0
     for b in batches:
-        local = []
-        for row in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
-            kind, names, extra, doc, start, n, x1, x2 = row
-            if kind == 1:
-                local.append((int(np.frombuffer(x1, np.int64)[0]), int(np.frombuffer(x2, np.int64)[0]), names))
-                continue
-            names, doc = np.frombuffer(names, np.uint64), np.frombuffer(doc, np.int32)
-            start = np.frombuffer(start, np.int64 if len(start) == 8 * len(doc) else np.int32).astype(np.int64)
-            parts.append((names, np.frombuffer(extra, extra_type), doc + base, start, np.frombuffer(n, np.int16)))
+        local = pa.compute.equal(b.column("kind"), 1)
+        own = b.filter(local)
+        if own.num_rows:
+            yield pa.RecordBatch.from_arrays([own.column(x) for x in ("bucket", "k1", "k2", "extra", "start", "n")], schema=_REPLY)
+        for names, extra, doc, start, n, x1, x2 in zip(*(c.to_pylist() for c in b.filter(pa.compute.invert(local)).columns[2:]), strict=True):
+            names = np.frombuffer(names, np.uint64)
+            doc = np.frombuffer(doc, np.uint16 if len(doc) == 2 * len(names) else np.int32).astype(np.int64)
+            start = np.frombuffer(start, np.int64 if len(start) == 8 * len(names) else np.int32).astype(np.int64)
+            parts.append((names, np.frombuffer(extra, extra_type), doc + base, start, np.frombuffer(n, np.int16) if n else np.ones(len(names), np.int16)))
             k1.append(np.frombuffer(x1, np.int64))
             k2.append(np.frombuffer(x2, np.int64))
             base += len(k1[-1])
-        if local:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*local, strict=True), _REPLY, strict=True)], schema=_REPLY)
     if not parts:
         return None
     return (*(np.concatenate(x) for x in zip(*parts, strict=True)), (np.concatenate(k1), np.concatenate(k2)))
 
 
-def _round1_reduce(batches):
-    got = yield from _unpack(batches, np.uint64)
-    if got is None:
-        return
-    name, extra, doc, start, n, keys = got
-    state, context = extra & np.uint64(3), extra & ~np.uint64(3)
-    order, by_name = _runs((name, context))
-    state, context, doc, start, n = (x[order] for x in (state, context, doc, start, n))
-    new_context = np.ones(len(order), bool)
-    new_context[1:] = (by_name[1:] != by_name[:-1]) | (context[1:] != context[:-1])
-    runs = np.cumsum(new_context) - 1
-    by_name = np.cumsum(np.concatenate(([True], name[order][1:] != name[order][:-1]))) - 1
-    several = (np.bincount(by_name, weights=new_context) > 1) | (np.bincount(by_name, weights=state == 3) > 0)
-    repeated = (np.bincount(runs)[runs] > 1) | (state == 2)
-    # One row of each context is ranked on; rows of state 3 are so already where they come from.
-    kinds = np.where(repeated, FULL, 0) | np.where(several[by_name] & new_context & (state != 3), RANK, 0)
-    if (out := np.flatnonzero(kinds)).size:
-        yield _replies(kinds[out], doc[out], start[out], n[out], keys)
-
-
-def _read_ranges(parts: list[bytes] | None) -> np.ndarray:
-    if not parts:
-        return np.empty((0, 3), np.int64)
-    return np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 3) for x in parts])
+def _round1_reduce(buckets: int):
+    def run(batches):
+        got = yield from _unpack(batches, np.uint64)
+        if got is None:
+            return
+        name, extra, doc, start, n, keys = got
+        state, context = extra & np.uint64(3), extra & ~np.uint64(3)
+        order, by_name = _runs((name, context))
+        state, context, doc, start, n = (x[order] for x in (state, context, doc, start, n))
+        new_context = np.ones(len(order), bool)
+        new_context[1:] = (by_name[1:] != by_name[:-1]) | (context[1:] != context[:-1])
+        runs = np.cumsum(new_context) - 1
+        by_name = np.cumsum(np.concatenate(([True], name[order][1:] != name[order][:-1]))) - 1
+        several = (np.bincount(by_name, weights=new_context) > 1) | (np.bincount(by_name, weights=state == 3) > 0)
+        repeated = (np.bincount(runs)[runs] > 1) | (state == 2)
+        # One row of each context is ranked on; rows of state 3 are so already where they come from.
+        kinds = np.where(repeated, FULL, 0) | np.where(several[by_name] & new_context & (state != 3), RANK, 0)
+        if (out := np.flatnonzero(kinds)).size:
+            yield _replies(kinds[out], doc[out], start[out], n[out], keys, buckets)
+
+    return run
+
+
+def _read_ranges(packed: bytes | None) -> np.ndarray:
+    return np.frombuffer(packed, np.int64).reshape(-1, 3) if packed else np.empty((0, 3), np.int64)
 
 
 def _round2_map(length: int, buckets: int):
@@ -255,24 +276,27 @@ def _round2_map(length: int, buckets: int):
                 head = np.flatnonzero(np.diff(by, prepend=-1))
                 twice = np.diff(np.concatenate((head, [len(order)]))) > 1
                 if (local := np.flatnonzero(twice[by])).size:
-                    yield _as_queries(_replies(np.full(len(local), FULL), doc[local], start[local], np.ones(len(local)), keys))
+                    yield _as_queries(_replies(np.full(len(local), FULL), doc[local], start[local], np.ones(len(local)), keys, buckets))
                 check = (two[head] >> np.uint64(32)).astype(np.uint32) & ~np.uint32(1) | twice.astype(np.uint32)
                 pair = bs.mixed(one[head] * np.uint64(3) + two[head])
-                yield from _packed((pair % np.uint64(buckets)).astype(np.int64), 0, pair, check, doc[head], start[head], np.zeros(len(head)), keys)
+                yield from _packed((pair % np.uint64(buckets)).astype(np.int64), 0, pair, check, doc[head], start[head], None, keys)
 
     return run
 
 
-def _round2_reduce(batches):
-    got = yield from _unpack(batches, np.uint32)
-    if got is None:
-        return
-    pair, check, doc, start, _, keys = got
-    order, by = _runs((pair, check >> np.uint32(1)))
-    known = (check[order] & np.uint32(1)) > 0
-    repeated = ((np.bincount(by) > 1) | (np.bincount(by, weights=known) > 0))[by] & ~known
-    if (out := order[repeated]).size:
-        yield _replies(np.full(len(out), FULL), doc[out], start[out], np.ones(len(out)), keys)
+def _round2_reduce(buckets: int):
+    def run(batches):
+        got = yield from _unpack(batches, np.uint32)
+        if got is None:
+            return
+        pair, check, doc, start, _, keys = got
+        order, by = _runs((pair, check >> np.uint32(1)))
+        known = (check[order] & np.uint32(1)) > 0
+        repeated = ((np.bincount(by) > 1) | (np.bincount(by, weights=known) > 0))[by] & ~known
+        if (out := order[repeated]).size:
+            yield _replies(np.full(len(out), FULL), doc[out], start[out], np.ones(len(out)), keys, buckets)
+
+    return run
 
 
 def cut(data: bytes, starts_n: np.ndarray, length: int) -> tuple[bytes, int, int]:
@@ -321,10 +345,10 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
 
     def ranked(source: DataFrame, to, reduce) -> DataFrame:
         sent = source.mapInArrow(to, _QUERY_DDL).repartition(buckets, "bucket")
-        got = sent.mapInArrow(reduce, _REPLY_DDL)
-        return got.groupBy("k1", "k2").agg(F.collect_list("ranges").alias("ranges"))
+        back = sent.mapInArrow(reduce, _REPLY_DDL).repartition(buckets, "part")
+        return back.mapInArrow(_by_document, _BY_DOC_DDL)
 
-    first = ranked(ids.filter(F.octet_length("text") >= length), _round1_map(length, buckets), _round1_reduce)
+    first = ranked(ids.filter(F.octet_length("text") >= length), _round1_map(length, buckets), _round1_reduce(buckets))
     has = F.col("ranges").isNotNull()
     joined = rows.join(first, ["k1", "k2"], "left").select(
         "doc_id", *names, "k1", "k2", F.octet_length("text").cast("long").alias("n_bytes"), "ranges",
@@ -333,7 +357,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
     )
     state = materialise(joined, "ranges")
     touched = state.filter(has)
-    second = ranked(touched.select("k1", "k2", "text", "ranges"), _round2_map(length, buckets), _round2_reduce).withColumnRenamed("ranges", "more")
+    second = ranked(touched.select("k1", "k2", "text", "ranges"), _round2_map(length, buckets), _round2_reduce(buckets)).withColumnRenamed("ranges", "more")
     own = [f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(["doc_id", *names], [id_col, *keep], strict=True)]
     done = touched.drop("kept_sha256").join(second, ["k1", "k2"], "left").select("doc_id", *names, "k1", "k2", "n_bytes", "ranges", "text", "more")
     done = done.mapInArrow(_finish(length, with_text), f"{', '.join(own)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
