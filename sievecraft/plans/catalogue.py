@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from sievecraft.plans import golden
+
+QUERIES = dict(golden.QUERIES)
+ORACLES = dict(golden.ORACLES)
+
