@@ -38,7 +38,12 @@ class Compiled:
     annex: DataFrame  # list_id, line_no, sub, entry
     lines: DataFrame  # list_id, line_no, kind, reason
     notes: DataFrame  # list_id, note, n
-    selectors: DataFrame  # list_id, trigger, selector, first
+    selectors: DataFrame  # list_id, trigger, selector, first, copies
+    kept: tuple[DataFrame, ...] = ()  # persisted tables that all of these are made from
+
+    def release(self) -> None:
+        for df in self.kept:
+            df.unpersist()
 
 
 def read_with(rows: DataFrame, inputs: list[str], function: Callable[..., dict], ddl: str) -> DataFrame:
@@ -248,16 +253,20 @@ def css_rules(selectors: DataFrame, profile: Profile) -> tuple[DataFrame, DataFr
 def keep_first(rules: DataFrame) -> DataFrame:
     """Each rule of a list once, in the section and at the place where it comes first; ``copies`` counts all."""
     place = F.struct("k1", "k2", "k3", "bucket", "atomic")
-    return rules.groupBy("list_id", "trigger", "action").agg(F.min(place).alias("p"), F.count("*").alias("copies")).select("list_id", "p.*", "trigger", "action", "copies")
+    return rules.groupBy("list_id", "trigger", "action").agg(F.min(place).alias("_place"), F.count("*").alias("copies")).select("list_id", "_place.*", "trigger", "action", "copies")
 
 
 def compile_lists(lines: DataFrame, profile: Profile | None = None, hosts: DataFrame | None = None) -> Compiled:
-    """``lines``: list_id, line_no, raw.  ``hosts``: the dialect of each list; found by sampling if it is not given."""
+    """``lines``: list_id, line_no, raw.  ``hosts``: the dialect of each list; found by sampling if it is not given.
+
+    Lines are read once: what they say is persisted (it spills to disk, and lost blocks are
+    read again), and rules, reports, side table and overlap are made from that.
+    """
     profile = profile or Profile()
-    classified = classify(lines, detect_hosts(lines) if hosts is None else hosts)
-    net, cos = network_rows(classified, profile), cosmetic_rows(classified, profile)
-    exploded = net.select("list_id", F.col("line_no").alias("k1"), "atomic", F.posexplode("rules").alias("k2", "r")).select(
-        "list_id", "r.bucket", "k1", F.col("k2").cast("long").alias("k2"), F.lit(0).cast("long").alias("k3"), "atomic", "r.trigger", "r.action"
+    classified = classify(lines, detect_hosts(lines) if hosts is None else hosts).persist()
+    net, cos = network_rows(classified, profile).persist(), cosmetic_rows(classified, profile).persist()
+    exploded = net.select("list_id", F.col("line_no").alias("k1"), "atomic", F.posexplode("rules").alias("k2", "_rule")).select(
+        "list_id", "_rule.bucket", "k1", F.col("k2").cast("long").alias("k2"), F.lit(0).cast("long").alias("k3"), "atomic", "_rule.trigger", "_rule.action"
     )
     once = keep_first(exploded)
     selectors = merge_selectors(cos)
@@ -276,7 +285,7 @@ def compile_lists(lines: DataFrame, profile: Profile | None = None, hosts: DataF
     merged = once.select("list_id", (F.col("copies") - 1).alias("n")).unionByName(selectors.select("list_id", (F.col("copies") - 1).alias("n")))
     counted = counted.unionByName(merged.groupBy("list_id").agg(F.sum("n").alias("n")).filter("n > 0").select("list_id", F.lit("duplicate_merged").alias("note"), "n"))
     counted = counted.unionByName(bare.groupBy("list_id").agg(F.count("*").alias("n")).select("list_id", F.lit("site_lifted").alias("note"), "n"))
-    return Compiled(rules, entries, status, counted, selectors)
+    return Compiled(rules, entries, status, counted, selectors, (classified, net, cos))
 
 
 def document_guards(rules: DataFrame, profile: Profile) -> DataFrame:

@@ -33,7 +33,7 @@ def applies(trigger: Column, r: DataFrame) -> Column:
         return value.isNull() | (~test(value) if negate else test(value))
 
     top, frame = r["top_url"], r["frame_url"]
-    hits = lambda url: lambda rx: F.exists(rx, lambda x: F.lower(url).rlike(x))
+    hits = lambda url: lambda rx: F.exists(rx, lambda x: F.rlike(F.lower(url), x))
     return (
         given("resource-type", lambda v: F.array_contains(v, r["type"])) & given("load-type", lambda v: F.array_contains(v, r["party"]))
         & given("load-context", lambda v: F.array_contains(v, r["context"])) & given("request-method", lambda v: v == r["method"])
@@ -53,7 +53,7 @@ def matches(requests: DataFrame, rules: DataFrame) -> DataFrame:
     rest = rows.filter("site = ''")
     case = F.coalesce(F.col("trigger")["url-filter-is-case-sensitive"], F.lit(False))
     rx = F.col("trigger")["url-filter"]
-    tried = requests.join(rest, F.when(case, F.col("url").rlike(rx)).otherwise(F.lower("url").rlike(F.lower(rx))))
+    tried = requests.join(rest, F.when(case, F.rlike("url", rx)).otherwise(F.rlike(F.lower("url"), F.lower(rx))))
     return equal.unionByName(tried.filter(applies(F.col("trigger"), tried)).select(*cols))
 
 

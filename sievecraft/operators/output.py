@@ -29,7 +29,7 @@ def chunk_cuts(groups: DataFrame, sizes: DataFrame, max_rules: int) -> DataFrame
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         body, room = int(pdf.body.iloc[0]), max_rules - int(pdf.tail_.iloc[0])
-        if room < min(1000, max_rules):
+        if room < min(1000, max_rules // 2):
             raise ValueError(f"exceptions leave room for {room} rules a file")
         ranges = sorted(zip(pdf.start.tolist(), pdf.n.tolist(), strict=True))
         at, cuts = 0, []

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from sievecraft.plans import golden
-
-QUERIES = dict(golden.QUERIES)
-ORACLES = dict(golden.ORACLES)
+from sievecraft.plans import golden, relational
 
+QUERIES = golden.QUERIES | relational.QUERIES
+ORACLES = golden.ORACLES | relational.ORACLES
