@@ -132,5 +132,31 @@ def op1_chat_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations(table(spark, sf_dir, "conversations"))
 
 
+_MARKS = r"^((?:[ \t]{0,3}>)*)"
+_KEY = rf"md5(array_to_string(regexp_extract_all(translate(%s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), ' '))"
+SQL = rf"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS r, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+l AS (SELECT r, conv_id, turn, generate_subscripts(parts, 1) AS n, unnest(parts) AS line FROM (SELECT *, string_split_regex(text, '\r?\n') AS parts FROM m) x),
+v AS (SELECT *, len(regexp_replace(regexp_extract(line, '{_MARKS}', 1), '[^>]', '', 'g')) AS level, trim(regexp_replace(line, '{_MARKS}', '')) AS rest FROM l),
+b AS (SELECT m.r, m.conv_id, m.turn, m.role, max(v.level) AS max_level,
+  CASE WHEN max(v.level) = 0 THEN m.text ELSE trim(regexp_replace(coalesce(string_agg(v.line, chr(10) ORDER BY v.n) FILTER (WHERE v.level = 0), ''), '^\n+|\n+$', '', 'g')) END AS body
+  FROM m JOIN v ON m.r = v.r GROUP BY m.r, m.conv_id, m.turn, m.role, m.text),
+s AS (SELECT *, CASE WHEN level IS DISTINCT FROM lag(level) OVER (PARTITION BY r ORDER BY n) THEN 1 ELSE 0 END AS starts FROM v),
+g AS (SELECT *, sum(starts) OVER (PARTITION BY r ORDER BY n) AS passage FROM s),
+p AS (SELECT r, conv_id, turn, passage, level, string_agg(rest, chr(10) ORDER BY n) AS whole FROM g WHERE level > 0 GROUP BY r, conv_id, turn, passage, level),
+w AS (SELECT conv_id, turn, passage, level, 0 AS by_line, {_KEY % "whole"} AS key FROM p UNION SELECT conv_id, turn, passage, level, 1, {_KEY % "rest"} FROM g WHERE level > 0),
+pieces AS (SELECT conv_id, turn, unnest(list_concat(list_concat([body], string_split_regex(body, '\n[ \t]*\n')), string_split_regex(body, '\n'))) AS piece FROM b WHERE conv_id IN (SELECT conv_id FROM p)),
+o AS (SELECT conv_id, {_KEY % "piece"} AS key, min(turn) AS original FROM pieces GROUP BY ALL),
+f AS (SELECT w.*, o.original FROM w JOIN o ON w.conv_id = o.conv_id AND w.key = o.key WHERE w.key <> md5('') AND o.original < w.turn),
+k AS (SELECT conv_id, turn, level, passage, original FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn, level, passage ORDER BY by_line, original DESC) AS best FROM f) x WHERE best = 1),
+a AS (SELECT conv_id, turn, max(original) AS parent_turn FROM k WHERE level = 1 GROUP BY conv_id, turn),
+c AS (SELECT conv_id, turn, parent_turn AS root_turn, CAST(1 AS BIGINT) AS depth FROM a UNION ALL SELECT c.conv_id, c.turn, a.parent_turn, c.depth + 1 FROM c JOIN a ON a.conv_id = c.conv_id AND a.turn = c.root_turn),
+t AS (SELECT conv_id, turn, min(root_turn) AS root_turn, max(depth) AS depth FROM c GROUP BY conv_id, turn),
+n AS (SELECT conv_id, turn, count(*) AS n_linked FROM k GROUP BY conv_id, turn), q AS (SELECT r, count(*) AS n_passages FROM p GROUP BY r)
+SELECT b.conv_id, b.turn, b.role, b.body, CAST(b.max_level AS BIGINT) AS max_level, coalesce(q.n_passages, 0) AS n_passages, coalesce(n.n_linked, 0) AS n_linked, a.parent_turn,
+  coalesce(t.root_turn, b.turn) AS root_turn, CAST(coalesce(t.depth, 0) AS BIGINT) AS depth
+FROM b LEFT JOIN q ON b.r = q.r LEFT JOIN n ON b.conv_id = n.conv_id AND b.turn = n.turn LEFT JOIN a ON b.conv_id = a.conv_id AND b.turn = a.turn LEFT JOIN t ON b.conv_id = t.conv_id AND b.turn = t.turn
+"""
+
 QUERIES = {"op1_chat_threads": op1_chat_threads}
-ORACLES = {}
+ORACLES = {"op1_chat_threads": SQL}
