@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievecraft.llm import decontamination, mixing, simhash, substring_dedup, toxicity
-from sievecraft.llm.common import shared_folder, table
+from sievecraft.llm.common import releasing, shared_folder, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 REST = COLUMNS[2:]
@@ -72,7 +72,7 @@ def _without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontamination.scan(docs.withColumn("whole", F.col("text")), table(spark, sf_dir, "benchmark"), keep=("whole", *REST))
     found = found.select("doc_id", F.col("whole").alias("text"), *REST, "spans")
-    clean = found.mapInArrow(_without_spans, "doc_id long, text string, lang string, source string, n_chars long, cut boolean")
+    clean = found.mapInArrow(releasing(_without_spans), "doc_id long, text string, lang string, source string, n_chars long, cut boolean")
     clean = clean.filter(~F.col("cut") | F.col("text").rlike(ANY_WORD))
     return clean.select("doc_id", "text", "lang", "source", F.when(F.col("cut"), F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 

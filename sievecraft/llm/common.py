@@ -8,10 +8,12 @@ the Python operators work on ``bytes`` and the native ones on Java patterns.
 
 from __future__ import annotations
 
+import ctypes
 import string
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,36 @@ def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a batch between the engine and Python: whole texts make batches of thousands of rows large.
+BATCH_ROWS = 1500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in smaller batches from now on; results are the same."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def release() -> None:
+    """Give memory that a finished task no longer uses back to the system, as workers live on beside the engine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def releasing(function):
+    """A function for mapInArrow that releases memory when it ends."""
+
+    def run(batches):
+        yield from function(batches)
+        release()
+
+    return run
+
+
 def no_clash(df: DataFrame, *needed: str) -> DataFrame:
     """Only the columns an operator reads, so extra columns can't clash with its own names."""
     return df.select(*[F.col(f"`{c}`") for c in needed])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievecraft.llm import bytescan as bs
-from sievecraft.llm.common import materialise, no_clash, table
+from sievecraft.llm.common import materialise, no_clash, releasing, small_batches, table
 
 WINDOW = 10
 SAMPLE = 16
@@ -288,6 +288,7 @@ def _merge_spans(spans: list) -> list:
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), block_words: int = BLOCK_WORDS) -> DataFrame:
     """Documents (id and ``keep``) with n_words, merged ``spans`` of words and bytes, and the sorted ``items`` found."""
+    small_batches(docs.sparkSession)
     names = [f"c{i}" for i in range(len(keep))]
     rows = no_clash(docs, id_col, text_col, *keep).toDF("doc_id", "text", *names).withColumn("text", F.coalesce("text", F.lit("")))
     types = [docs.schema[c].dataType.simpleString() for c in (id_col, *keep)]
@@ -295,13 +296,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
     bench, more = Benchmark(next(blocks), window), next(blocks, None)
     if more is None:
         ddl = ", ".join([f"{n} {t}" for n, t in zip(["doc_id", *names], types, strict=True)])
-        found = rows.select("doc_id", *names, "text").mapInArrow(_scan(bench), f"{ddl}, n_words long, spans {_SPAN}, items array<string>")
+        found = rows.select("doc_id", *names, "text").mapInArrow(releasing(_scan(bench)), f"{ddl}, n_words long, spans {_SPAN}, items array<string>")
         return found.toDF(id_col, *keep, "n_words", "spans", "items")
     # A pass for each block; a row number ties the passes together.
     numbered = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
     passes = None
     while bench is not None:
-        one = materialise(numbered.select("row", "text").mapInArrow(_scan(bench), f"row long, n_words long, spans {_SPAN}, items array<string>"), "pass")
+        one = materialise(numbered.select("row", "text").mapInArrow(releasing(_scan(bench)), f"row long, n_words long, spans {_SPAN}, items array<string>"), "pass")
         passes = one if passes is None else passes.unionByName(one)
         bench = None if more is None else Benchmark(more, window)
         more = next(blocks, None)

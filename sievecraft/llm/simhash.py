@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievecraft.llm.bytescan import mixed
-from sievecraft.llm.common import materialise, no_clash, table
+from sievecraft.llm.common import materialise, no_clash, releasing, small_batches, table
 from sievecraft.llm.components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -98,7 +98,7 @@ def _fingerprints(shingle: int):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text")
-    return rows.mapInArrow(_fingerprints(shingle), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fingerprint long")
+    return rows.mapInArrow(releasing(_fingerprints(shingle)), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fingerprint long")
 
 
 def _forest(codes: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -169,11 +169,12 @@ def links(codes: DataFrame, radius: int = RADIUS, list_rows: int = LIST_ROWS) ->
         other = joined.select("key", "fingerprint", "blocks", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1)) - 1)).alias("other"))
         name = F.when(F.col("blocks").isNull(), F.xxhash64("key")).otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
         dealt = other.select(name.alias("list"), "fingerprint")
-    return dealt.repartition("list").sortWithinPartitions("list").mapInArrow(_lists(radius), "a long, b long")
+    return dealt.repartition("list").sortWithinPartitions("list").mapInArrow(releasing(_lists(radius)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, list_rows: int = LIST_ROWS) -> DataFrame:
     """One row per document: doc_id, fingerprint (long), component_id."""
+    small_batches(docs.sparkSession)
     rows = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     classes = materialise(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "classes")
     # Nodes are fingerprints here; the smallest id of a component is taken at the end.
@@ -269,11 +270,12 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     before it whose sketches allow it, and pairs are verified by all 512 bits.
     """
     rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text")
-    rows = materialise(rows.mapInArrow(_wide(shingle), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fingerprint binary"), "wide")
+    small_batches(docs.sparkSession)
+    rows = materialise(rows.mapInArrow(releasing(_wide(shingle)), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fingerprint binary"), "wide")
     nodes = materialise(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.xxhash64("fingerprint").alias("node")), "nodes")
     buckets = max(8, -(-nodes.count() // 4000))
-    posted = nodes.mapInArrow(_postings(buckets), "bucket int, key binary, id binary, sketch binary").repartition(buckets, "bucket")
-    pairs = posted.mapInArrow(_candidates, "a long, b long").distinct()
+    posted = nodes.mapInArrow(releasing(_postings(buckets)), "bucket int, key binary, id binary, sketch binary").repartition(buckets, "bucket")
+    pairs = posted.mapInArrow(releasing(_candidates), "a long, b long").distinct()
     code = nodes.select("node", *[F.conv(F.hex(F.substring("fingerprint", 8 * i + 1, 8)), 16, -10).cast("long").alias(f"w{i}") for i in range(WIDE_WORDS)])
     side = lambda n: code.select(F.col("node").alias(n), *[F.col(f"w{i}").alias(f"{n}{i}") for i in range(WIDE_WORDS)])
     far = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, WIDE_WORDS)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievecraft.llm import bytescan as bs
-from sievecraft.llm.common import materialise, no_clash, table
+from sievecraft.llm.common import materialise, no_clash, releasing, small_batches, table
 
 LENGTH = 400
 PIECE = 1 << 22
@@ -156,7 +156,7 @@ def _gather(found: list[tuple], keys) -> tuple[np.ndarray, ...]:
     return doc, *(np.concatenate([x[i] for x in found]) for i in range(1, len(found[0])))
 
 
-def _slices(batch: pa.RecordBatch, column: str, most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, column: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` bytes of text."""
     _, offsets = bs.texts(batch.column(column))
     at = 0
@@ -338,15 +338,16 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
     """
     names = [f"c{i}" for i in range(len(keep))]
     rows = no_clash(docs, id_col, text_col, *keep).toDF("doc_id", "text", *names).withColumn("text", F.coalesce("text", F.lit("")))
+    small_batches(docs.sparkSession)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // RANGE_BYTES))
     rows = rows.withColumns({"k1": F.coalesce("doc_id", F.lit(-1)).cast("long"), "k2": F.xxhash64("doc_id", "text")})
     ids = rows.select("k1", "k2", "text")
 
     def ranked(source: DataFrame, to, reduce) -> DataFrame:
-        sent = source.mapInArrow(to, _QUERY_DDL).repartition(buckets, "bucket")
-        back = sent.mapInArrow(reduce, _REPLY_DDL).repartition(buckets, "part")
-        return back.mapInArrow(_by_document, _BY_DOC_DDL)
+        sent = source.mapInArrow(releasing(to), _QUERY_DDL).repartition(buckets, "bucket")
+        back = sent.mapInArrow(releasing(reduce), _REPLY_DDL).repartition(buckets, "part")
+        return back.mapInArrow(releasing(_by_document), _BY_DOC_DDL)
 
     first = ranked(ids.filter(F.octet_length("text") >= length), _round1_map(length, buckets), _round1_reduce(buckets))
     has = F.col("ranges").isNotNull()
@@ -360,7 +361,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
     second = ranked(touched.select("k1", "k2", "text", "ranges"), _round2_map(length, buckets), _round2_reduce(buckets)).withColumnRenamed("ranges", "more")
     own = [f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(["doc_id", *names], [id_col, *keep], strict=True)]
     done = touched.drop("kept_sha256").join(second, ["k1", "k2"], "left").select("doc_id", *names, "k1", "k2", "n_bytes", "ranges", "text", "more")
-    done = done.mapInArrow(_finish(length, with_text), f"{', '.join(own)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    done = done.mapInArrow(releasing(_finish(length, with_text)), f"{', '.join(own)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
     zero = F.lit(0).cast("long")
     same = state.filter(~has).select("doc_id", *names, "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256", F.col("text").alias("kept"))
     out = done.unionByName(same).toDF(id_col, *keep, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

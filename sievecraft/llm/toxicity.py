@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievecraft.llm.common import no_clash, table
+from sievecraft.llm.common import no_clash, releasing, small_batches, table
 
 FIT_DOCS = 2000
 THRESHOLD = 0.3
@@ -76,7 +76,7 @@ class Field:
         """What the word's features add for the toxic tag; 0 for a neutral one."""
         got = self.memo.get(word)
         if got is None:
-            if len(self.memo) > 500_000:
+            if len(self.memo) > 100_000:
                 self.memo.clear()
             got = self.memo[word] = sum(self.weights.get(f, 0.0) for f in features(word))
         return got
@@ -270,10 +270,11 @@ def _scored(model: Field | None, with_text: bool = False):
 
 def score(docs: DataFrame, model: Field | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_text: bool = False) -> DataFrame:
     """Documents with ``score`` and the byte offsets of toxic tokens with their marginals; ``keep``: columns to carry along."""
+    small_batches(docs.sparkSession)
     names = [f"c{i}" for i in range(len(keep))]
     rows = no_clash(docs, id_col, text_col, *keep).toDF("doc_id", "text", *names)
     types = [f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("doc_id", *(["text"] if with_text else []), *names)]
-    out = rows.mapInArrow(_scored(model, with_text), ", ".join(types) + ", score double, spans array<struct<start: long, end: long, p: double>>")
+    out = rows.mapInArrow(releasing(_scored(model, with_text)), ", ".join(types) + ", score double, spans array<struct<start: long, end: long, p: double>>")
     return out.toDF(id_col, *([text_col] if with_text else []), *keep, "score", "spans")
 
 
