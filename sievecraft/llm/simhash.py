@@ -237,7 +237,7 @@ def _postings(lists: int):
 
 
 def _candidates(batches):
-    """At most two candidates for each entry: the first and the nearest one before it in the list that its sketch allows."""
+    """One candidate for each entry: the nearest one before it in the list, if their sketches allow it."""
     parts = [(np.frombuffer(k, np.int32), np.frombuffer(i, np.int64), np.frombuffer(s, np.uint64)) for b in batches for k, i, s in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
     if not parts:
         return
@@ -251,10 +251,9 @@ def _candidates(batches):
             own = np.arange(at, min(at + 512, z))
             far = np.bitwise_count(sketch[own][:, None] ^ sketch[a : own[-1]][None, :]).astype(np.int16)
             far[np.arange(a, own[-1])[None, :] >= own[:, None]] = 64
-            near = far <= 20
-            has = near.any(axis=1)
-            for pick in (near.argmax(axis=1)[has], far.argmin(axis=1)[has]):
-                found.append(np.stack((ids[a + pick], ids[own[has]]), axis=1))
+            nearest = far.argmin(axis=1)
+            has = far[np.arange(len(own)), nearest] <= 20
+            found.append(np.stack((ids[a + nearest[has]], ids[own[has]]), axis=1))
     if found:
         pairs = np.unique(np.concatenate(found), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -266,8 +265,9 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     Two such texts share each positional byte with a chance of a quarter at 0.8, so
     they nearly always meet in some of 96 lists by two bytes; unlike the search within 4
     bits, that is a matter of chance, and so is the estimate of similarity by
-    fingerprints.  In a list, each entry is tried with the first and the nearest entry
-    before it whose sketches allow it, and pairs are verified by all 512 bits.
+    fingerprints.  In a list, each entry is tried with the nearest entry before it, by the
+    first word, and pairs are verified by all 512 bits: a group is held together by its
+    nearest pairs, and its candidates grow with its size, not with its square.
     """
     rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text")
     small_batches(docs.sparkSession)
