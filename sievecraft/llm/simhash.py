@@ -215,49 +215,84 @@ def _wide(shingle: int):
     return run
 
 
-def _postings(lists: int):
-    """Entries of the lists by two positional bytes: list, id, and the first word to look at before all others."""
-    schema = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("id", pa.binary()), ("sketch", pa.binary())])
+#: An entry's key has this bit if its component comes along.
+_KNOWN = 1 << 30
+#: The lists that are tried first, by neighbours only: what they join need not be paired again.
+FIRST = _PAIRS[::6]
+
+
+def _postings(lists: int, pairs: list[tuple[int, int]]):
+    """Entries of the lists by two positional bytes: key, all bits, and the components of nodes that have one."""
+    schema = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("code", pa.binary()), ("component", pa.binary())])
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             codes = np.frombuffer(b"".join(b.column("fingerprint").to_pylist()), np.uint8).reshape(b.num_rows, -1)
-            ids, sketch = b.column("node").to_numpy(zero_copy_only=False).astype(np.int64), codes[:, :8].copy().view(np.uint64)[:, 0]
-            key = np.stack([(n << 16) + codes[:, i].astype(np.int64) * 256 + codes[:, j] for n, (i, j) in enumerate(_PAIRS)], axis=1).ravel()
-            row = np.repeat(np.arange(len(ids)), len(_PAIRS))
+            known = b.column("component").is_valid().to_numpy(zero_copy_only=False)
+            component = b.column("component").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            key = np.stack([(n << 16) + codes[:, i].astype(np.int64) * 256 + codes[:, j] for n, (i, j) in enumerate(pairs)], axis=1).ravel()
+            row = np.repeat(np.arange(len(codes)), len(pairs))
             bucket = (mixed(key.astype(np.uint64)) % np.uint64(lists)).astype(np.int64)
+            key = np.where(known[row], key | _KNOWN, key).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            rows = [(int(bucket[p[0]]), key[p].astype(np.int32).tobytes(), ids[row[p]].tobytes(), sketch[row[p]].tobytes()) for p in np.split(order, cuts)]
+            rows = [(int(bucket[p[0]]), key[p].tobytes(), codes[row[p]].tobytes(), component[row[p][known[row[p]]]].tobytes()) for p in np.split(order, cuts)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return run
 
 
-def _candidates(batches):
-    """One candidate for each entry: the nearest one before it in the list, if their sketches allow it."""
-    parts = [(np.frombuffer(k, np.int32), np.frombuffer(i, np.int64), np.frombuffer(s, np.uint64)) for b in batches for k, i, s in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
-    if not parts:
-        return
-    key, ids, sketch = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((ids, key))
-    key, ids, sketch = key[order], ids[order], sketch[order]
-    cuts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-    found = []
-    for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        for at in range(a + 1, z, 512):
-            own = np.arange(at, min(at + 512, z))
-            far = np.bitwise_count(sketch[own][:, None] ^ sketch[a : own[-1]][None, :]).astype(np.int16)
-            far[np.arange(a, own[-1])[None, :] >= own[:, None]] = 64
-            nearest = far.argmin(axis=1)
-            has = far[np.arange(len(own)), nearest] <= 20
-            found.append(np.stack((ids[a + nearest[has]], ids[own[has]]), axis=1))
-    if found:
-        pairs = np.unique(np.concatenate(found), axis=0)
+def near_pairs(key: np.ndarray, code: np.ndarray, component: np.ndarray, known: np.ndarray, radius: int, most: int | None) -> np.ndarray:
+    """Rows (i, j) of entries with one key, of different components, within ``radius`` bits; all of them, or up to ``most`` places apart.
+
+    ``key`` is ascending.  Entries are compared with those 1, 2, ... places further on, in all lists at once.
+    """
+    found, at, lag = [np.empty((0, 2), np.int64)], np.arange(len(key)), 0
+    while len(at) and (most is None or lag < most):
+        lag += 1
+        at = at[: np.searchsorted(at, len(key) - lag)]
+        at = at[key[at] == key[at + lag]]
+        for part in range(0, len(at), 1 << 16):
+            i = at[part : part + (1 << 16)]
+            i = i[~(known[i] & known[i + lag] & (component[i] == component[i + lag]))]
+            far = np.zeros(len(i), np.int16)
+            for w in range(code.shape[1]):
+                far += np.bitwise_count(code[i, w] ^ code[i + lag, w])
+                if w % 2:
+                    i, far = i[far <= radius], far[far <= radius]
+            found.append(np.stack((i, i + lag), axis=1))
+    return np.concatenate(found)
+
+
+def _candidates(radius: int, most: int | None):
+    """Pairs of nodes that meet in a list within ``radius`` of all bits, as ``near_pairs`` has them."""
+
+    def run(batches):
+        parts = [x for b in batches for x in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+        if not parts:
+            return
+        key = np.frombuffer(b"".join(p[0] for p in parts), np.int32)
+        code = np.frombuffer(b"".join(p[1] for p in parts), np.uint64).reshape(len(key), -1)
+        known = key & _KNOWN > 0
+        component = np.zeros(len(key), np.int64)
+        component[known] = np.frombuffer(b"".join(p[2] for p in parts), np.int64)
+        del parts
+        key = key & ~np.int32(_KNOWN)
+        order = np.lexsort((code[:, 0], key))
+        key, code, component, known = key[order], code[order], component[order], known[order]
+        pairs = near_pairs(key, code, component, known, radius, most)
+        if not len(pairs):
+            return
+        used, at = np.unique(pairs, return_inverse=True)
+        node = np.array([xxhash.xxh64_intdigest(code[i].tobytes(), 42) for i in used], np.uint64).view(np.int64)  # the engine's xxhash64()
+        a, b = node[at.reshape(-1, 2)].T
+        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
+    return run
+
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, fingerprint (512 bits) and component_id of texts of about this Jaccard similarity of shingles or more.
@@ -265,22 +300,24 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     Two such texts share each positional byte with a chance of a quarter at 0.8, so
     they nearly always meet in some of 96 lists by two bytes; unlike the search within 4
     bits, that is a matter of chance, and so is the estimate of similarity by
-    fingerprints.  In a list, each entry is tried with the nearest entry before it, by the
-    first word, and pairs are verified by all 512 bits: a group is held together by its
-    nearest pairs, and its candidates grow with its size, not with its square.
+    fingerprints.  All pairs of a list are compared by all 512 bits.  So that a large group
+    of near copies does not yield the square of its size, neighbours in a few lists
+    are linked first; then every pair goes on whose two texts are not joined by these.
     """
     rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text")
     small_batches(docs.sparkSession)
     rows = materialise(rows.mapInArrow(releasing(_wide(shingle)), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fingerprint binary"), "wide")
     nodes = materialise(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.xxhash64("fingerprint").alias("node")), "nodes")
-    buckets = max(8, -(-nodes.count() // 4000))
-    posted = nodes.mapInArrow(releasing(_postings(buckets)), "bucket int, key binary, id binary, sketch binary").repartition(buckets, "bucket")
-    pairs = posted.mapInArrow(releasing(_candidates), "a long, b long").distinct()
-    code = nodes.select("node", *[F.conv(F.hex(F.substring("fingerprint", 8 * i + 1, 8)), 16, -10).cast("long").alias(f"w{i}") for i in range(WIDE_WORDS)])
-    side = lambda n: code.select(F.col("node").alias(n), *[F.col(f"w{i}").alias(f"{n}{i}") for i in range(WIDE_WORDS)])
-    far = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, WIDE_WORDS)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
-    linked = pairs.join(side("a"), "a").join(side("b"), "b").filter(far <= most_bits(similarity)).select("a", "b")
-    named = nodes.join(components(linked), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    buckets = max(8, -(-nodes.count() // 2000))
+
+    def linked(known: DataFrame, lists: list[tuple[int, int]], most: int | None) -> DataFrame:
+        posted = known.select("fingerprint", "component").mapInArrow(releasing(_postings(buckets, lists)), "bucket int, key binary, code binary, component binary")
+        return posted.repartition(buckets, "bucket").mapInArrow(releasing(_candidates(most_bits(similarity), most)), "a long, b long").distinct()
+
+    first = materialise(linked(nodes.withColumn("component", F.lit(None).cast("long")), FIRST, 2), "links")
+    known = materialise(nodes.join(components(first), "node", "left"), "known")
+    rest = linked(known, _PAIRS, None)
+    named = nodes.join(components(first.unionByName(rest)), "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     return rows.join(named.join(smallest, "component").select("fingerprint", "component_id"), "fingerprint").select("doc_id", "fingerprint", "component_id")
 

@@ -3,6 +3,8 @@
 import random
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 
 from sievecraft.llm import components, simhash
@@ -70,3 +72,44 @@ def test_spark_hash_agrees(spark):
     # hashes of the first and last texts by the engine's own XXH64, for reference
     got = spark.sql("SELECT xxhash64('a b c d') AS h").first().h
     assert got % 2**64 == xxhash.xxh64(b"a b c d", seed=42).intdigest()
+
+
+def test_all_pairs_of_a_list_are_compared():
+    # z's nearest entry by the first word is far in all bits; the one that is near has 5 other bits there
+    code = np.zeros((3, 8), np.uint64)
+    code[0, 1:] = 2**64 - 1
+    code[1, 0] = 31
+    key, none = np.zeros(3, np.int32), np.zeros(3, bool)
+    with_component = lambda known, component, key=key: sorted(map(tuple, simhash.near_pairs(key, code, np.array(component), np.array(known), 91, None).tolist()))
+    assert with_component(none, [0, 0, 0]) == [(1, 2)]
+    assert with_component([False, True, True], [0, 7, 7]) == [] and with_component([False, True, True], [0, 7, 8]) == [(1, 2)]
+    assert with_component(none, [0, 0, 0], np.array([0, 0, 1], np.int32)) == []
+    batch = lambda codes: pa.RecordBatch.from_arrays([pa.array([c.tobytes() for c in codes], pa.binary()), pa.array([None] * len(codes), pa.int64())], names=["fingerprint", "component"])
+    got = [r for b in simhash._candidates(91, None)(simhash._postings(1, simhash._PAIRS)([batch(code)])) for r in b.to_pylist()]
+    node = sorted(xxhash.xxh64_intdigest(code[i].tobytes(), 42) for i in (1, 2))
+    assert sorted(r[x] % 2**64 for r in got for x in "ab") == node
+
+
+def template_family(rng, size, varied, pairs, words=300):
+    """Texts of one template with ``varied`` words of their own each; ``pairs`` of them have a near copy."""
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    texts = []
+    for _ in range(size):
+        own = list(base)
+        for k in rng.sample(range(words), varied):
+            own[k] = f"v{rng.randrange(10**6)}"
+        texts.append(own)
+    copies = []
+    for own in texts[:pairs]:
+        near = list(own)
+        for k in rng.sample(range(words), 5):
+            near[k] = f"u{rng.randrange(10**6)}"
+        copies.append(near)
+    return [" ".join(t) for t in texts + copies]
+
+
+def test_near_copies_within_a_template_family(spark):
+    texts = template_family(random.Random(8), 1500, 8, 40)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar(df).collect()}
+    assert all(got[1500 + i] == got[i] for i in range(40))
