@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and read by the next.
 
 1. toxicity: documents whose score reaches the threshold go.
-2. SimHash near-dedup: of each group of texts of a Jaccard similarity of five-word
+2. SimHash near-dedup: of each group of texts of an exact Jaccard similarity of five-word
    shingles of 0.8 or more, the one with the smallest id stays.
 3. suffix-array dedup: bytes in 400-byte strings that occur elsewhere are cut out; a
    document goes if nothing but white space is left of its text.

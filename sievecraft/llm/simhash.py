@@ -192,7 +192,8 @@ _PAIRS = [(2 * i, 2 * i + 1) for i in range(32)] + [(i, i + 32) for i in range(3
 
 
 def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
-    hashes = _hashes(text, shingle, SEED)
+    """Bits that over half of the distinct shingles have."""
+    hashes = np.unique(_hashes(text, shingle, SEED))
     out = np.zeros(WIDE_WORDS * 64, np.int64)
     for part in range(0, len(hashes), 1 << 15):
         out += _ones(mixed(hashes[part : part + (1 << 15), None] * _SPREAD[None, :]))
@@ -210,7 +211,18 @@ def _wide(shingle: int):
     def run(batches):
         for b in batches:
             values = [wide_fingerprint(t or b"", shingle) for t in b.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(values, pa.binary())], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_id"), pa.array(values, pa.binary())], names=["doc_id", "text_id", "fingerprint"])
+
+    return run
+
+
+def _sets(shingle: int):
+    """The hashes of each text's distinct shingles."""
+
+    def run(batches):
+        for b in batches:
+            sets = [np.unique(_hashes(t or b"", shingle, SEED)).view(np.int64) for t in b.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     return run
 
@@ -295,31 +307,45 @@ def _candidates(radius: int, most: int | None):
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, fingerprint (512 bits) and component_id of texts of about this Jaccard similarity of shingles or more.
-
-    Two such texts share each positional byte with a chance of a quarter at 0.8, so
-    they nearly always meet in some of 96 lists by two bytes; unlike the search within 4
-    bits, that is a matter of chance, and so is the estimate of similarity by
-    fingerprints.  All pairs of a list are compared by all 512 bits.  So that a large group
-    of near copies does not yield the square of its size, neighbours in a few lists
-    are linked first; then every pair goes on whose two texts are not joined by these.
+    """doc_id, fingerprint (512 bits) and component_id; texts are linked that have this Jaccard similarity of distinct shingles or more.
+
+    Fingerprints only find candidates.  Two such texts share each positional byte with a
+    chance of a quarter at 0.8, so they nearly always meet in some of 96 lists by two bytes;
+    unlike the search within 4 bits, that is a matter of chance.  All pairs of a list are
+    compared by all 512 bits, and those within ``most_bits`` by their sets of shingles.
+    So that a large group of near copies does not yield the square of its size,
+    neighbours in a few lists are tried first; then every pair goes on whose two texts
+    are not joined by these.  Texts of equal fingerprints are one node, for which
+    one of them stands.
     """
-    rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text")
+    rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text").withColumn("text_id", F.xxhash64("text"))
     small_batches(docs.sparkSession)
-    rows = materialise(rows.mapInArrow(releasing(_wide(shingle)), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fingerprint binary"), "wide")
-    nodes = materialise(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.xxhash64("fingerprint").alias("node")), "nodes")
+    wide = rows.mapInArrow(releasing(_wide(shingle)), f"doc_id {docs.schema[id_col].dataType.simpleString()}, text_id long, fingerprint binary")
+    wide = materialise(wide, "wide")
+    nodes = materialise(wide.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.min("text_id").alias("text_id"), F.xxhash64("fingerprint").alias("node")), "nodes")
     buckets = max(8, -(-nodes.count() // 2000))
 
-    def linked(known: DataFrame, lists: list[tuple[int, int]], most: int | None) -> DataFrame:
+    def candidates(known: DataFrame, lists: list[tuple[int, int]], most: int | None) -> DataFrame:
         posted = known.select("fingerprint", "component").mapInArrow(releasing(_postings(buckets, lists)), "bucket int, key binary, code binary, component binary")
         return posted.repartition(buckets, "bucket").mapInArrow(releasing(_candidates(most_bits(similarity), most)), "a long, b long").distinct()
 
-    first = materialise(linked(nodes.withColumn("component", F.lit(None).cast("long")), FIRST, 2), "links")
-    known = materialise(nodes.join(components(first), "node", "left"), "known")
-    rest = linked(known, _PAIRS, None)
-    named = nodes.join(components(first.unionByName(rest)), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs whose texts are similar, by their shingles."""
+        used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "text_id")
+        # The ids of candidates are broadcast, 16 bytes each, so that no other text is shuffled.
+        texts = rows.select("text_id", "text").join(F.broadcast(used), "text_id").select("node", "text").dropDuplicates(["node"])
+        sets = materialise(texts.mapInArrow(releasing(_sets(shingle)), "node long, shingles array<long>"), "sets")
+        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+        shared = F.size(F.array_intersect("x", "y"))
+        return both.filter(shared / (F.size("x") + F.size("y") - shared) >= similarity).select("a", "b")
+
+    tried = materialise(candidates(nodes.withColumn("component", F.lit(None).cast("long")), FIRST, 2), "pairs")
+    first = materialise(linked(tried), "links")
+    known = materialise(nodes.join(components(first), "node", "left").select("fingerprint", "component"), "known")
+    rest = materialise(candidates(known, _PAIRS, None).join(tried, ["a", "b"], "left_anti"), "pairs")
+    named = nodes.join(components(first.unionByName(linked(rest))), "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return rows.join(named.join(smallest, "component").select("fingerprint", "component_id"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return wide.join(named.join(smallest, "component").select("fingerprint", "component_id"), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
