@@ -3,8 +3,9 @@
 1. toxicity: documents whose score reaches the threshold go.
 2. SimHash near-dedup: of each group of texts of an exact Jaccard similarity of five-word
    shingles of 0.8 or more, the one with the smallest id stays.
-3. suffix-array dedup: bytes in 400-byte strings that occur elsewhere are cut out; a
-   document goes if nothing but white space is left of its text.
+3. suffix-array dedup: runs of over 50 words that occur elsewhere are cut out (and
+   fewer words of 400 bytes and more); a document goes if nothing but white space is left
+   of its text.
 4. benchmark decontamination: spans of benchmark windows are cut out; a document goes
    if no word is left of its text.
 5. mixing: documents with the words that the mix takes of them; documents it takes
@@ -28,6 +29,8 @@ from sievecraft.llm.common import releasing, shared_folder, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 REST = COLUMNS[2:]
+#: Repeated runs of so many words are cut out.
+PASSAGE_WORDS = 51
 #: A character of a word, before lower-casing.
 ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
@@ -50,7 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = substring_dedup.dedup(docs, keep=REST, with_text=True)
+    left = substring_dedup.dedup(docs, keep=REST, with_text=True, words=PASSAGE_WORDS)
     cut = F.col("n_removed") > 0
     left = left.filter(~cut | F.col("kept").rlike(mixing.TOKEN))
     return left.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.when(cut, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))

@@ -24,6 +24,12 @@ Rows of both rounds travel packed, as arrays by hash range.  Each batch first se
 what it can decide alone and sends one row for each distinct name, so a passage that a
 third of all documents hold costs a row a batch, not a row a document.
 
+*Words in place of bytes.*  With ``words``, what must repeat is a run of so many words,
+of however few bytes, whatever stands between them.  Texts are coded for it: a word is
+the eight bytes of its fingerprint, and the rest of a word of eight bytes or more
+follows as it is, so ``words`` words have ``8 * words`` bytes at least.  What repeats over that many bytes of
+code is cut if it is so many words, or ``LENGTH`` bytes of few long words or one.
+
 Defined cases: a null text is an empty one; texts shorter than ``length`` lose nothing;
 repeated rows are documents of their own (they share one row key, so their results
 agree); periodic texts are repeats of themselves; long texts are cut into pieces that
@@ -84,6 +90,35 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def _coded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A text with each word as its fingerprint and, from its eighth byte on, itself; the words' starts and ends, and where their codes start and end."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], bs._IN_WORD[bs._LOWER[data]], [False])).astype(np.int8)))
+    start, end = edges[::2], edges[1::2]
+    name = bs.mixed(bs.fingerprints(bs.prefix_sums(data), start, end) + (end - start).astype(np.uint64))
+    size = np.maximum(8, end - start + 1)
+    at = np.concatenate(([0], np.cumsum(size)))
+    out = np.empty(at[-1], np.uint8)
+    out[(at[:-1, None] + np.arange(8)).ravel()] = name.view(np.uint8)
+    more = size - 8
+    place = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
+    out[np.repeat(at[:-1] + 8, more) + place] = data[np.repeat(start + 7, more) + place]
+    return out, start, end, at
+
+
+def _whole_words(a: np.ndarray, b: np.ndarray, coded: tuple, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a text for spans of its code: whole words, but parts of words that are longer than ``length``; only
+    runs of so many words, or of ``LENGTH`` bytes."""
+    _, start, end, at = coded
+    i, j = np.searchsorted(at, a, "right") - 1, np.searchsorted(at, b, "left") - 1  # words of the first and of the last byte
+    inside = lambda w, x: start[w] + np.maximum(7, x - at[w] - 1)
+    large = at[1:] - at[:-1] > length
+    after = np.append(start, end[-1:])  # a word that is cut at its start stays
+    first = np.where(at[i] == a, start[i], np.where(large[i], inside(i, a), after[i + 1]))
+    last = np.where(at[j + 1] == b, end[j], np.where(large[j], inside(j, b), end[np.maximum(j - 1, 0)]))
+    enough = (np.searchsorted(start, last) - np.searchsorted(start, first) >= length // 8) | (last - first >= LENGTH)
+    return first[enough], last[enough]
+
+
 def _runs(order_by: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Sort order and, for the sorted rows, the number of their run of equals (most significant key first)."""
     order = np.lexsort(order_by[::-1])
@@ -166,13 +201,16 @@ def _slices(batch: pa.RecordBatch, column: str, most: int = 1 << 23) -> Iterator
         at = end
 
 
-def _round1_map(length: int, buckets: int):
+def _round1_map(length: int, buckets: int, words: bool = False):
     def run(batches):
         for whole in batches:
             for batch in _slices(whole, "text"):
                 data, offsets = bs.texts(batch.column("text"))
                 keys = _keys(batch)
-                found = [(i, *anchors(data[a:b], length)) for i, (a, b) in enumerate(zip(offsets, offsets[1:], strict=False)) if b - a >= length]
+                if words:
+                    found = [(i, *anchors(_coded(data[a:b])[0], length)) for i, (a, b) in enumerate(zip(offsets, offsets[1:], strict=False)) if b > a]
+                else:
+                    found = [(i, *anchors(data[a:b], length)) for i, (a, b) in enumerate(zip(offsets, offsets[1:], strict=False)) if b - a >= length]
                 if not found:
                     continue
                 doc, name, context, start, n = _gather(found, keys)
@@ -243,7 +281,7 @@ def _read_ranges(packed: bytes | None) -> np.ndarray:
     return np.frombuffer(packed, np.int64).reshape(-1, 3) if packed else np.empty((0, 3), np.int64)
 
 
-def _round2_map(length: int, buckets: int):
+def _round2_map(length: int, buckets: int, words: bool = False):
     half = length // 2
 
     def ranked(data: np.ndarray, ranges: np.ndarray):
@@ -267,7 +305,8 @@ def _round2_map(length: int, buckets: int):
                     ranges = _read_ranges(parts)
                     ranges = ranges[(ranges[:, 0] & RANK) > 0]
                     if len(ranges):
-                        found.append((i, *ranked(data[offsets[i] : offsets[i + 1]], ranges)))
+                        own = data[offsets[i] : offsets[i + 1]]
+                        found.append((i, *ranked(_coded(own)[0] if words else own, ranges)))
                 if not found:
                     continue
                 doc, one, two, start = _gather(found, keys)
@@ -299,7 +338,7 @@ def _round2_reduce(buckets: int):
     return run
 
 
-def cut(data: bytes, starts_n: np.ndarray, length: int) -> tuple[bytes, int, int]:
+def cut(data: bytes, starts_n: np.ndarray, length: int, words: bool = False) -> tuple[bytes, int, int]:
     """What is left, the number of removed bytes, and of removed runs; ``starts_n``: first window and number of windows."""
     if not len(starts_n):
         return data, 0, 0
@@ -307,11 +346,13 @@ def cut(data: bytes, starts_n: np.ndarray, length: int) -> tuple[bytes, int, int
     start, end = starts_n[order, 0], np.maximum.accumulate(starts_n[order, 0] + starts_n[order, 1] - 1 + length)
     first = np.concatenate(([True], start[1:] > end[:-1]))
     a, b = start[first], np.concatenate((end[:-1][first[1:]], end[-1:]))
+    if words:
+        a, b = _whole_words(a, b, _coded(np.frombuffer(data, np.uint8)), length)
     keep = zip(np.concatenate(([0], b)), np.concatenate((a, [len(data)])), strict=True)
     return b"".join(data[x:y] for x, y in keep), int((b - a).sum()), len(a)
 
 
-def _finish(length: int, with_text: bool):
+def _finish(length: int, with_text: bool, words: bool = False):
     schema = pa.schema([("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
     def run(batches):
@@ -321,7 +362,7 @@ def _finish(length: int, with_text: bool):
                 out = []
                 for i, (one, two) in enumerate(zip(b.column("ranges").to_pylist(), b.column("more").to_pylist(), strict=True)):
                     ranges = np.concatenate((_read_ranges(one), _read_ranges(two)))
-                    kept, removed, spans = cut(data[offsets[i] : offsets[i + 1]].tobytes(), ranges[(ranges[:, 0] & FULL) > 0][:, 1:], length)
+                    kept, removed, spans = cut(data[offsets[i] : offsets[i + 1]].tobytes(), ranges[(ranges[:, 0] & FULL) > 0][:, 1:], length, words)
                     out.append((removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None))
                 made = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)]
                 rest = b.drop_columns(["text", "ranges", "more", "k1", "k2"])
@@ -330,13 +371,16 @@ def _finish(length: int, with_text: bool):
     return run
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_text: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_text: bool = False, words: int | None = None) -> DataFrame:
     """One row per document: n_bytes, n_removed, n_spans and kept_sha256 (and ``kept``, the text that is left).
 
+    With ``words``, runs of so many words are cut in place of strings of ``length`` bytes.
+
     ``keep`` names further columns to carry along.  Kept bytes that are no whole
     character any more, at the ends of a cut, are dropped from ``kept`` alone.
     """
-    names = [f"c{i}" for i in range(len(keep))]
+    names, least, by_words = [f"c{i}" for i in range(len(keep))], 2 * words - 1 if words else length, words is not None
+    length = 8 * words if words else length
     rows = no_clash(docs, id_col, text_col, *keep).toDF("doc_id", "text", *names).withColumn("text", F.coalesce("text", F.lit("")))
     small_batches(docs.sparkSession)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -349,7 +393,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
         back = sent.mapInArrow(releasing(reduce), _REPLY_DDL).repartition(buckets, "part")
         return back.mapInArrow(releasing(_by_document), _BY_DOC_DDL)
 
-    first = ranked(ids.filter(F.octet_length("text") >= length), _round1_map(length, buckets), _round1_reduce(buckets))
+    first = ranked(ids.filter(F.octet_length("text") >= F.least(F.lit(least), F.lit(length))), _round1_map(length, buckets, by_words), _round1_reduce(buckets))
     has = F.col("ranges").isNotNull()
     joined = rows.join(first, ["k1", "k2"], "left").select(
         "doc_id", *names, "k1", "k2", F.octet_length("text").cast("long").alias("n_bytes"), "ranges",
@@ -358,10 +402,10 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
     )
     state = materialise(joined, "ranges")
     touched = state.filter(has)
-    second = ranked(touched.select("k1", "k2", "text", "ranges"), _round2_map(length, buckets), _round2_reduce(buckets)).withColumnRenamed("ranges", "more")
+    second = ranked(touched.select("k1", "k2", "text", "ranges"), _round2_map(length, buckets, by_words), _round2_reduce(buckets)).withColumnRenamed("ranges", "more")
     own = [f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(["doc_id", *names], [id_col, *keep], strict=True)]
     done = touched.drop("kept_sha256").join(second, ["k1", "k2"], "left").select("doc_id", *names, "k1", "k2", "n_bytes", "ranges", "text", "more")
-    done = done.mapInArrow(releasing(_finish(length, with_text)), f"{', '.join(own)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    done = done.mapInArrow(releasing(_finish(length, with_text, by_words)), f"{', '.join(own)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
     zero = F.lit(0).cast("long")
     same = state.filter(~has).select("doc_id", *names, "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256", F.col("text").alias("kept"))
     out = done.unionByName(same).toDF(id_col, *keep, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

@@ -77,3 +77,14 @@ def test_similar_texts(spark):
         rows += [(2 * i, " ".join(words), "en", "s", 0), (2 * i + 1, " ".join(near), "en", "s", 0)]
     got = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert sum(got[2 * i + 1] == 2 * i for i in range(30)) >= 28 and all(got[2 * i] == 2 * i for i in range(30))
+
+
+def test_passages_of_51_words_are_cut(spark):
+    rng = random.Random(12)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghijklm", k=rng.randint(1, 7))) for _ in range(n))
+    passage, fewer = text(51), text(50)
+    texts = [f"{text(60)} {p} {text(60)}" for p in (passage, passage, fewer, fewer)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.text for r in cp.cut_repeated_passages(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert len(passage.encode()) < 400
+    assert [got[i] for i in range(4)] == [texts[i].replace(passage, "") if i < 2 else texts[i] for i in range(4)]

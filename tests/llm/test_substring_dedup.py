@@ -51,3 +51,23 @@ def test_long_texts_in_pieces(monkeypatch):
     _, _, start, n = sd.anchors(data, 40)
     windows = sorted(x for s, k in zip(start, n, strict=True) for x in range(s, s + k))
     assert windows == list(range(3000 - 40 + 1))
+
+
+def test_runs_of_words(spark, monkeypatch):
+    monkeypatch.setattr(sd, "RANGE_BYTES", 1 << 11)
+    rng = random.Random(6)
+    word = lambda k=8: "".join(rng.choices("abcdé", k=rng.randint(1, k)))
+    text = lambda n, k=8: " ".join(word(k) for _ in range(n))
+    short, long, below, giant, urls = text(51, 2), text(51, 30), text(50), text(500).replace(" ", ""), text(30, 60)
+    docs = [f"{text(40)} {p}{end} {text(40)}" for p in (short, long, below, giant, urls) for end in ("", ".", "!")] + [text(30) for _ in range(10)] + [None, "", short]
+    got = {r.doc_id: r for r in sd.dedup(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3), with_text=True, words=51).collect()}
+    for i in range(15):
+        passage = (short, long, below, giant, urls)[i // 3]
+        head, _, tail = docs[i].partition(passage)
+        if i // 3 in (0, 1):
+            assert got[i].kept == head + tail and got[i].n_removed == len(passage.encode()) and got[i].n_spans == 1
+        elif i // 3 == 2:
+            assert got[i].kept == docs[i] and got[i].n_removed == 0
+        else:  # a word longer than the window, and fewer but longer words
+            assert got[i].n_spans == 1 and got[i].kept.startswith(head) and got[i].kept.endswith(tail) and len(got[i].kept) - len(head + tail) < 10
+    assert all(got[i].kept == docs[i] for i in range(15, 25)) and got[25].kept == got[26].kept == got[27].kept == ""
