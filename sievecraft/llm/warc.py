@@ -123,9 +123,14 @@ class _Parser:
         self.got += len(SEPARATOR) + len(piece)
         if self.got < self.need:
             return None
-        if self.got > self.need:
-            raise ValueError("a block is longer than its Content-Length")
-        out, self.header = (self.header, SEPARATOR.encode().join(self.parts)), None
+        # A block that ends in a line end is split two bytes early, so the next piece begins with the rest of it.
+        whole, separator = SEPARATOR.encode().join(self.parts), SEPARATOR.encode()
+        out, rest, self.header = (self.header, whole[: self.need]), whole[self.need :], None
+        if rest:
+            if not rest.startswith(separator):
+                raise ValueError("a block is longer than its Content-Length")
+            if rest := rest[len(separator) :]:  # the next header; none at the end of an archive
+                self.feed(rest)
         return out
 
 

@@ -59,3 +59,15 @@ def test_hamming_matches_brute_force(spark):
             want.setdefault(i, []).extend((n + 1, d, j) for n, (d, j) in enumerate(near))
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
     assert hamming_search.top_k(df.limit(0), df.limit(0), "vec_id", "embedding").count() == 0
+
+
+def test_pages_that_end_in_line_ends(spark):
+    ends = ["a\r\n", "\r\n", "b\r\n\r\n\r\n", "\r\n\r\n", "c\r", "d\r\n\r", "\n", "\r\ne", "f\n\r\n", "\r\n" * 7]
+    rows = [(i, "http://x.org", html, None) for i, html in enumerate(ends + ends[:3])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, run string")
+    for parts in (1, 20):  # in the middle and at the end of archives
+        got = {r.page_id: r for r in warc.round_trip(df.repartition(parts)).collect()}
+        assert len(got) == len(rows) and all(r.intact for r in got.values())
+        for i, _, html, _ in rows:
+            assert (got[i].payload_bytes, got[i].payload_digest) == (len(html), base64.b32encode(hashlib.sha1(html.encode()).digest()).decode())
+            assert got[i].record_type == ("response" if i < len(ends) else "revisit")
