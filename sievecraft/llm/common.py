@@ -9,6 +9,7 @@ the Python operators work on ``bytes`` and the native ones on Java patterns.
 from __future__ import annotations
 
 import ctypes
+import re
 import string
 import tempfile
 import uuid
@@ -34,15 +35,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors see: the session's checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset,
-    as in tests on one machine, a temporary folder is made and set.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and
+    everything runs on one machine, as in tests, a temporary folder is made and set.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sievecraft-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sievecraft-"))
     return sc.getCheckpointDir()
 
 
+#: Tables in the shared folder that nobody has deleted yet, oldest first.
+_written: list[str] = []
+
+
 def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -50,8 +58,59 @@ def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     columns prunable and is about a third of the size of a checkpoint of rows.
     """
     path = f"{shared_folder(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.options(**{"compression": "zstd"} | options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing reads any more."""
+    for t in tables:
+        _written.remove(t._written_at)
+        delete(t.sparkSession, t._written_at)
+
+
+def written() -> int:
+    """A mark for ``sweep``."""
+    return len(_written)
+
+
+def sweep(spark: SparkSession, mark: int = 0) -> None:
+    """Delete the tables that were materialised since the mark, once no result that is still wanted reads them."""
+    for path in _written[mark:]:
+        delete(spark, path)
+    del _written[mark:]
+
+
+#: Bits of the filter of ``maybe_in``, as a power of two: its table has at most 2**19 rows.
+FILTER_BITS = 25
+
+
+def maybe_in(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` and whether their key may be in ``keys``: ``maybe`` is true for all that are, and for few others.
+
+    A bitmap of hashes, one bit each, in words of 64 bits.  It is broadcast, 2**19 rows at any size of either
+    table.  Where ``keys`` fill it, more rows pass, so whoever joins what passes gets the same result.
+    """
+    place = F.pmod(F.xxhash64(*columns, F.lit(FILTER_BITS)), F.lit(1 << FILTER_BITS))
+    mask = F.expr("shiftleft(1L, cast(_place & 63 as int))")
+    words = keys.select(place.alias("_place")).select(F.shiftright("_place", 6).alias("_word"), mask.alias("_mask"))
+    words = words.groupBy("_word").agg(F.bit_or("_mask").alias("_bits"))
+    placed = rows.withColumn("_place", place).withColumn("_word", F.shiftright("_place", 6))
+    hit = F.coalesce(F.col("_bits").bitwiseAND(mask) != 0, F.lit(False))
+    return placed.join(F.broadcast(words), "_word", "left").withColumn("maybe", hit).drop("_word", "_place", "_bits")
+
+
+def row_key(id_col: str, text_col: str) -> dict[str, Column]:
+    """128 bits that name a row by its id and text, for ids of any type and nulls in either."""
+    return {"k1": F.xxhash64(id_col, F.lit(1)), "k2": F.xxhash64(text_col, F.lit(2), id_col)}
 
 
 #: Rows of a batch between the engine and Python: whole texts make batches of thousands of rows large.

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievecraft.llm.common import materialise
+from sievecraft.llm.common import discard, materialise
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: smaller neighbours and the node itself do.
         small = large.join(lowest, "node")
         moved = small.filter("to <> least").select(F.col("to").alias("node"), F.col("least").alias("to"))
-        stars = materialise(moved.unionByName(lowest.select("node", F.col("least").alias("to"))).filter("node <> to").distinct(), "stars")
+        before, stars = stars, materialise(moved.unionByName(lowest.select("node", F.col("least").alias("to"))).filter("node <> to").distinct(), "stars")
+        discard(before)
         now = stars.agg(F.count("*"), F.sum(F.hash("node", "to")), F.bit_xor(F.xxhash64("node", "to"))).first()
         if now == state:
             break

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievecraft.llm.bytescan import mixed
-from sievecraft.llm.common import materialise, no_clash, releasing, small_batches, table
+from sievecraft.llm.common import discard, materialise, maybe_in, no_clash, releasing, row_key, small_batches, table
 from sievecraft.llm.components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -188,164 +188,307 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 #: Wide fingerprints, for similarities that 64 bits cannot tell: 512 bits, in lists by two bytes.
 WIDE_WORDS, WIDE_SHINGLE, SIMILARITY = 8, 5, 0.8
 _SPREAD = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % 2**64 for i in range(WIDE_WORDS)], np.uint64)
-_PAIRS = [(2 * i, 2 * i + 1) for i in range(32)] + [(i, i + 32) for i in range(32)] + [(i, (i + 7) % 32 + 32) for i in range(32)]
+_PAIRS = [(2 * i, 2 * i + 1) for i in range(32)] + [(i, i + 32) for i in range(32)]
+#: Words of a fingerprint that the entries of a list carry.
+LIST_WORDS = 2
+#: Lists of up to so many entries are compared in common, longer ones each by itself.
+SHORT_LIST = 48
+#: Shingle hashes of a block of texts that are compared with each other, in bytes.
+BLOCK_BYTES = 1 << 23
 
 
 def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
     """Bits that over half of the distinct shingles have."""
-    hashes = np.unique(_hashes(text, shingle, SEED))
+    return _wide_bits(np.unique(_hashes(text, shingle, SEED)))
+
+
+def _wide_bits(hashes: np.ndarray) -> bytes:
     out = np.zeros(WIDE_WORDS * 64, np.int64)
     for part in range(0, len(hashes), 1 << 15):
         out += _ones(mixed(hashes[part : part + (1 << 15), None] * _SPREAD[None, :]))
     return np.packbits(2 * out > len(hashes), bitorder="little").tobytes()
 
 
-def most_bits(similarity: float) -> int:
-    """The expected distance of wide fingerprints of texts of this Jaccard similarity, and 1.75 deviations more."""
+def most_bits(similarity: float, words: int, deviations: float) -> int:
+    """The expected distance in so many words of the fingerprints of texts of this Jaccard similarity, and some deviations more."""
     angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    bits = WIDE_WORDS * 64
-    return int(bits * angle + 1.75 * math.sqrt(bits * angle * (1 - angle)))
+    bits = words * 64
+    return int(bits * angle + deviations * math.sqrt(bits * angle * (1 - angle)))
 
 
 def _wide(shingle: int):
     def run(batches):
         for b in batches:
             values = [wide_fingerprint(t or b"", shingle) for t in b.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_id"), pa.array(values, pa.binary())], names=["doc_id", "text_id", "fingerprint"])
+            rest = b.drop_columns(["text"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(values, pa.binary())], names=[*rest.schema.names, "fingerprint"])
 
     return run
 
 
 def _sets(shingle: int):
-    """The hashes of each text's distinct shingles."""
+    """The hashes of each text's distinct shingles, ascending, eight bytes each."""
 
     def run(batches):
         for b in batches:
-            sets = [np.unique(_hashes(t or b"", shingle, SEED)).view(np.int64) for t in b.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+            sets = [np.unique(_hashes(t or b"", shingle, SEED)).tobytes() for t in b.column("text").cast(pa.binary()).to_pylist()]
+            rest = b.drop_columns(["text"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(sets, pa.binary())], names=[*rest.schema.names, "shingles"])
 
     return run
 
 
-#: An entry's key has this bit if its component comes along.
-_KNOWN = 1 << 30
-#: The lists that are tried first, by neighbours only: what they join need not be paired again.
-FIRST = _PAIRS[::6]
+def _postings(buckets: int, blocks: dict[int, int]):
+    """Entries of the lists by two positional bytes, packed by bucket: list, first words of the bits, node.
 
-
-def _postings(lists: int, pairs: list[tuple[int, int]]):
-    """Entries of the lists by two positional bytes: key, all bits, and the components of nodes that have one."""
-    schema = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("code", pa.binary()), ("component", pa.binary())])
+    A list named in ``blocks`` is cut into so many blocks by node; each pair of blocks is a list of its own.
+    """
+    schema = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("code", pa.binary()), ("node", pa.binary())])
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             codes = np.frombuffer(b"".join(b.column("fingerprint").to_pylist()), np.uint8).reshape(b.num_rows, -1)
-            known = b.column("component").is_valid().to_numpy(zero_copy_only=False)
-            component = b.column("component").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            key = np.stack([(n << 16) + codes[:, i].astype(np.int64) * 256 + codes[:, j] for n, (i, j) in enumerate(pairs)], axis=1).ravel()
-            row = np.repeat(np.arange(len(codes)), len(pairs))
-            bucket = (mixed(key.astype(np.uint64)) % np.uint64(lists)).astype(np.int64)
-            key = np.where(known[row], key | _KNOWN, key).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            rows = [(int(bucket[p[0]]), key[p].tobytes(), codes[row[p]].tobytes(), component[row[p][known[row[p]]]].tobytes()) for p in np.split(order, cuts)]
+            node = b.column("node").to_numpy().view(np.uint64)
+            key, row = list_keys(codes).ravel(), np.repeat(np.arange(len(codes)), len(_PAIRS))
+            key = mixed(key.astype(np.uint64))
+            if blocks:
+                large = np.isin(key, np.array(list(blocks), np.uint64))
+                more = [(key[~large], row[~large])]
+                for i in np.flatnonzero(large):
+                    n = blocks[int(key[i])]
+                    own, other = int(mixed(node[row[i] : row[i] + 1])[0] % np.uint64(n)), np.arange(n)
+                    pair = np.minimum(own, other) * n + np.maximum(own, other)
+                    more.append((mixed(key[i] + pair.astype(np.uint64) + np.uint64(1)), np.full(n, row[i])))
+                key, row = (np.concatenate(x) for x in zip(*more, strict=True))
+            bucket = (key % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((key, bucket))
+            words = codes[:, : 8 * LIST_WORDS]
+            rows = [(int(bucket[p[0]]), (key[p] >> np.uint64(32)).astype(np.uint32).tobytes(), words[row[p]].tobytes(), node[row[p]].tobytes()) for p in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return run
 
 
-def near_pairs(key: np.ndarray, code: np.ndarray, component: np.ndarray, known: np.ndarray, radius: int, most: int | None) -> np.ndarray:
-    """Rows (i, j) of entries with one key, of different components, within ``radius`` bits; all of them, or up to ``most`` places apart.
+def list_keys(codes: np.ndarray) -> np.ndarray:
+    """The lists of each fingerprint (a row of bytes)."""
+    return np.stack([(n << 16) + codes[:, i].astype(np.int64) * 256 + codes[:, j] for n, (i, j) in enumerate(_PAIRS)], axis=1)
 
-    ``key`` is ascending.  Entries are compared with those 1, 2, ... places further on, in all lists at once.
+
+def near_pairs(key: np.ndarray, code: np.ndarray, limit: int) -> np.ndarray:
+    """Rows (i, j) of entries of one list within ``limit`` bits that join all that such pairs join; ``key`` is ascending.
+
+    Entries of short lists are compared with those 1, 2, ... places further on, in all lists
+    at once; a long list is searched from entry to entries not yet reached.
     """
-    found, at, lag = [np.empty((0, 2), np.int64)], np.arange(len(key)), 0
-    while len(at) and (most is None or lag < most):
+    cuts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+    size = np.diff(cuts)
+    found = [np.empty((0, 2), np.int64)]
+    at, lag = np.flatnonzero(np.repeat(size <= SHORT_LIST, size)), 0
+    while len(at):
         lag += 1
-        at = at[: np.searchsorted(at, len(key) - lag)]
+        at = at[at < len(key) - lag]
         at = at[key[at] == key[at + lag]]
         for part in range(0, len(at), 1 << 16):
             i = at[part : part + (1 << 16)]
-            i = i[~(known[i] & known[i + lag] & (component[i] == component[i + lag]))]
-            far = np.zeros(len(i), np.int16)
-            for w in range(code.shape[1]):
-                far += np.bitwise_count(code[i, w] ^ code[i + lag, w])
-                if w % 2:
-                    i, far = i[far <= radius], far[far <= radius]
+            far = np.bitwise_count(code[i] ^ code[i + lag]).sum(axis=1, dtype=np.int32)
+            i = i[far <= limit]
             found.append(np.stack((i, i + lag), axis=1))
+    for k in np.flatnonzero(size > SHORT_LIST):
+        rest = np.arange(cuts[k], cuts[k + 1])
+        while len(rest):
+            front, rest = [rest[0]], rest[1:]
+            while front and len(rest):
+                here = front.pop()
+                near = np.bitwise_count(code[rest] ^ code[here]).sum(axis=1, dtype=np.int32) <= limit
+                found.append(np.stack((np.full(near.sum(), here), rest[near]), axis=1))
+                front += rest[near].tolist()
+                rest = rest[~near]
     return np.concatenate(found)
 
 
-def _candidates(radius: int, most: int | None):
-    """Pairs of nodes that meet in a list within ``radius`` of all bits, as ``near_pairs`` has them."""
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (node, least node) that join what the pairs join, one for each node but the least ones."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    least = np.arange(len(nodes))
+    while True:
+        before = least.copy()
+        low = np.minimum(least[x], least[y])
+        for z in (x, y, least[x], least[y]):
+            np.minimum.at(least, z, low)
+        least = least[least]
+        if (least == before).all():
+            break
+    moved = np.flatnonzero(least != np.arange(len(nodes)))
+    return nodes[moved], nodes[least[moved]]
+
+
+_STARS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _as_stars(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in stars(a, b)], schema=_STARS)
+
+
+def _families(limit: int):
+    """What the lists of a bucket join."""
 
     def run(batches):
         parts = [x for b in batches for x in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
         if not parts:
             return
-        key = np.frombuffer(b"".join(p[0] for p in parts), np.int32)
+        key = np.frombuffer(b"".join(p[0] for p in parts), np.uint32)
         code = np.frombuffer(b"".join(p[1] for p in parts), np.uint64).reshape(len(key), -1)
-        known = key & _KNOWN > 0
-        component = np.zeros(len(key), np.int64)
-        component[known] = np.frombuffer(b"".join(p[2] for p in parts), np.int64)
+        node = np.frombuffer(b"".join(p[2] for p in parts), np.int64)
         del parts
-        key = key & ~np.int32(_KNOWN)
-        order = np.lexsort((code[:, 0], key))
-        key, code, component, known = key[order], code[order], component[order], known[order]
-        pairs = near_pairs(key, code, component, known, radius, most)
-        if not len(pairs):
-            return
-        used, at = np.unique(pairs, return_inverse=True)
-        node = np.array([xxhash.xxh64_intdigest(code[i].tobytes(), 42) for i in used], np.uint64).view(np.int64)  # the engine's xxhash64()
-        a, b = node[at.reshape(-1, 2)].T
-        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        order = np.argsort(key, kind="stable")
+        key, code, node = key[order], code[order], node[order]
+        pairs = near_pairs(key, code, limit)
+        yield _as_stars(node[pairs[:, 0]], node[pairs[:, 1]])
 
     return run
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, fingerprint (512 bits) and component_id; texts are linked that have this Jaccard similarity of distinct shingles or more.
+def similar_pairs(sets: list[np.ndarray], codes: np.ndarray, similarity: float, limit: int) -> list[tuple[int, int]]:
+    """Pairs of sets of this Jaccard similarity or more that join all that such pairs join.
 
-    Fingerprints only find candidates.  Two such texts share each positional byte with a
-    chance of a quarter at 0.8, so they nearly always meet in some of 96 lists by two bytes;
-    unlike the search within 4 bits, that is a matter of chance.  All pairs of a list are
-    compared by all 512 bits, and those within ``most_bits`` by their sets of shingles.
-    So that a large group of near copies does not yield the square of its size,
-    neighbours in a few lists are tried first; then every pair goes on whose two texts
-    are not joined by these.  Texts of equal fingerprints are one node, for which
-    one of them stands.
+    Sets whose fingerprints or sizes are too far apart are not intersected, nor are sets that are joined already.
     """
-    rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text").withColumn("text_id", F.xxhash64("text"))
-    small_batches(docs.sparkSession)
-    wide = rows.mapInArrow(releasing(_wide(shingle)), f"doc_id {docs.schema[id_col].dataType.simpleString()}, text_id long, fingerprint binary")
-    wide = materialise(wide, "wide")
-    nodes = materialise(wide.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.min("text_id").alias("text_id"), F.xxhash64("fingerprint").alias("node")), "nodes")
-    buckets = max(8, -(-nodes.count() // 2000))
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(size)
+    flag, label, out = np.zeros(ids.max(initial=0) + 1, bool), np.arange(len(sets)), []
+    for i in range(len(sets) - 1):
+        near = np.bitwise_count(codes[i + 1 :] ^ codes[i]).sum(axis=1, dtype=np.int32) <= limit
+        rest = size[i + 1 :]
+        near &= (label[i + 1 :] != label[i]) & (np.minimum(rest, size[i]) >= similarity * np.maximum(rest, size[i]))
+        if not near.any():
+            continue
+        mine = ids[ends[i] - size[i] : ends[i]]
+        flag[mine] = True
+        for j in np.flatnonzero(near) + i + 1:
+            if label[j] != label[i]:
+                shared = np.count_nonzero(flag[ids[ends[j] - size[j] : ends[j]]])
+                if shared >= similarity * (size[i] + size[j] - shared):
+                    out.append((i, int(j)))
+                    label[label == label[j]] = label[i]
+        flag[mine] = False
+    return out
 
-    def candidates(known: DataFrame, lists: list[tuple[int, int]], most: int | None) -> DataFrame:
-        posted = known.select("fingerprint", "component").mapInArrow(releasing(_postings(buckets, lists)), "bucket int, key binary, code binary, component binary")
-        return posted.repartition(buckets, "bucket").mapInArrow(releasing(_candidates(most_bits(similarity), most)), "a long, b long").distinct()
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs whose texts are similar, by their shingles."""
-        used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "text_id")
-        # The ids of candidates are broadcast, 16 bytes each, so that no other text is shuffled.
-        texts = rows.select("text_id", "text").join(F.broadcast(used), "text_id").select("node", "text").dropDuplicates(["node"])
-        sets = materialise(texts.mapInArrow(releasing(_sets(shingle)), "node long, shingles array<long>"), "sets")
-        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-        shared = F.size(F.array_intersect("x", "y"))
-        return both.filter(shared / (F.size("x") + F.size("y") - shared) >= similarity).select("a", "b")
-
-    tried = materialise(candidates(nodes.withColumn("component", F.lit(None).cast("long")), FIRST, 2), "pairs")
-    first = materialise(linked(tried), "links")
-    known = materialise(nodes.join(components(first), "node", "left").select("fingerprint", "component"), "known")
-    rest = materialise(candidates(known, _PAIRS, None).join(tried, ["a", "b"], "left_anti"), "pairs")
-    named = nodes.join(components(first.unionByName(linked(rest))), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return wide.join(named.join(smallest, "component").select("fingerprint", "component_id"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+def _exact(similarity: float, limit: int):
+    """What the texts of each block join; rows come sorted by block."""
+
+    def block(rows: list[tuple]) -> pa.RecordBatch:
+        node = np.array([r[0] for r in rows], np.int64)
+        codes = np.frombuffer(b"".join(r[1] for r in rows), np.uint64).reshape(len(rows), -1)
+        pairs = np.array(similar_pairs([np.frombuffer(r[2], np.uint64) for r in rows], codes, similarity, limit), np.int64).reshape(-1, 2)
+        return _as_stars(node[pairs[:, 0]], node[pairs[:, 1]])
+
+    def run(batches):
+        now, rows = None, []
+        for b in batches:
+            for own, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if own != now and rows:
+                    if len(rows) > 1:
+                        yield block(rows)
+                    rows = []
+                now = own
+                rows.append(row)
+        if len(rows) > 1:
+            yield block(rows)
+
+    return run
+
+
+def _large_lists(nodes: DataFrame, list_rows: int, sample: int = 20_000) -> dict[int, int]:
+    """Lists of more than ``list_rows`` entries, and how many blocks they become, judged by about ``sample`` nodes.
+
+    A list that is judged too small is compared whole: the estimate bears on the tasks' sizes, not on the result.
+    """
+    n = nodes.count()
+    share = max(1, n // sample)
+    if n <= list_rows:
+        return {}
+    got = nodes.filter(F.pmod("node", F.lit(share)) == 0).select("fingerprint").toArrow().column(0).to_pylist()
+    codes = np.frombuffer(b"".join(got), np.uint8).reshape(len(got), -1)
+    key, count = np.unique(list_keys(codes), return_counts=True)
+    large = count * share > list_rows
+    return {int(k): int(-(-2 * c * share // list_rows)) for k, c in zip(mixed(key[large].astype(np.uint64)), count[large], strict=True)}
+
+
+def families(nodes: DataFrame, similarity: float = SIMILARITY, list_rows: int = LIST_ROWS) -> DataFrame:
+    """(node, family) of the nodes that meet another within reach in some list, and of those these meet."""
+    buckets = max(8, -(-nodes.count() // 2000))
+    posted = nodes.select("fingerprint", "node").mapInArrow(releasing(_postings(buckets, _large_lists(nodes, list_rows))), "bucket int, key binary, code binary, node binary")
+    met = posted.repartition(buckets, "bucket").mapInArrow(releasing(_families(most_bits(similarity, LIST_WORDS, 2.5))), "a long, b long")
+    return components(met).withColumnRenamed("component", "family")
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, list_rows: int = LIST_ROWS) -> DataFrame:
+    """doc_id, k1 and k2 (``row_key``), component, component_id, and ``stays`` for one row key of each component.
+
+    Texts are linked whose distinct shingles have this Jaccard similarity or more.  Fingerprints of
+    512 bits only find candidates.  Two such texts share each positional byte with a chance of
+    a quarter at 0.8, so they nearly always meet in some of 64 lists by two bytes; unlike the
+    search within 4 bits, that is a matter of chance.  Entries that differ in few of 128 bits join
+    a family.  Within a family all texts are compared, by all bits, by the sizes of their sets, and what
+    remains by the sets themselves, block by block; each block answers with what it joins, so a large
+    group does not yield the square of its size.  Texts of equal fingerprints are one node, for
+    which one of them stands.
+
+    Defined cases: null and blank texts have no shingles and are one node; texts of fewer words are one
+    shingle; repeated rows share key and component; rows with a null id are told apart by their text and
+    stay only if no row with an id is in their component; other columns are not read; an empty table
+    gives an empty result.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text").withColumns(row_key("doc_id", "text"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    wide = materialise(rows.mapInArrow(releasing(_wide(shingle)), f"doc_id {kind}, k1 long, k2 long, fingerprint binary"), "wide")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lone"), "doc_id", "k1", "k2")).alias("first")
+    nodes = materialise(wide.groupBy("fingerprint").agg(first, F.xxhash64("fingerprint").alias("node")), "nodes")
+    family = families(nodes, similarity, list_rows)
+    member = materialise(nodes.join(family, "node").select("node", "family", "fingerprint", "first.k1", "first.k2"), "members")
+
+    texts = maybe_in(rows.select("k1", "k2", "text"), member, "k1", "k2").filter("maybe").select("k1", "k2", "text").dropDuplicates(["k1", "k2"])
+    texts = texts.join(member, ["k1", "k2"]).select("family", "node", "fingerprint", "text")
+    sets = materialise(texts.mapInArrow(releasing(_sets(shingle)), "family long, node long, fingerprint binary, shingles binary"), "sets")
+    count = F.ceil(F.sum(F.octet_length("shingles") + 72) / BLOCK_BYTES).alias("blocks")
+    large = sets.groupBy("family").agg(count).filter("blocks > 1")
+    blocks = F.coalesce("blocks", F.lit(1))
+    dealt = sets.join(large, "family", "left").withColumn("own", F.pmod(F.xxhash64("node"), blocks))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.select(F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other")).alias("block"), "node", "fingerprint", "shingles")
+    reach = most_bits(similarity, WIDE_WORDS, 4.0)
+    links = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(releasing(_exact(similarity, reach)), "a long, b long")
+
+    joined = components(links)
+    discard(member, sets)
+    named = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    chosen = named.groupBy("component").agg(F.min("first").alias("chosen"))
+    named = named.select("fingerprint", "component").join(chosen, "component")
+    found = wide.join(named, "fingerprint")
+    stays = (F.col("k1") == F.col("chosen.k1")) & (F.col("k2") == F.col("chosen.k2"))
+    return found.select("doc_id", "k1", "k2", "component", F.col("chosen.doc_id").alias("component_id"), stays.alias("stays"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component of ``similar``, the one with the smallest id.
+
+    Rows of another id or text that stay are not moved: only those that may go are shuffled.
+    """
+    found = similar(docs, id_col, text_col, **options)
+    keys = found.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.first("stays").alias("stays"))
+    doubtful = materialise(keys.filter("NOT stays OR n > 1").select("k1", "k2", "stays"), "doubtful")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumns(row_key(f"row.`{id_col}`", f"row.`{text_col}`"))
+    marked = maybe_in(whole, doubtful, "k1", "k2")
+    unsure = marked.filter("maybe").join(doubtful, ["k1", "k2"], "left")
+    unsure = unsure.filter("coalesce(stays, true)").dropDuplicates(["k1", "k2"])
+    return marked.filter("NOT maybe").select("row").unionByName(unsure.select("row")).select("row.*")
 
 
 def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,6 @@ import random
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 
 from sievecraft.llm import components, simhash
@@ -74,20 +73,48 @@ def test_spark_hash_agrees(spark):
     assert got % 2**64 == xxhash.xxh64(b"a b c d", seed=42).intdigest()
 
 
-def test_all_pairs_of_a_list_are_compared():
-    # z's nearest entry by the first word is far in all bits; the one that is near has 5 other bits there
-    code = np.zeros((3, 8), np.uint64)
-    code[0, 1:] = 2**64 - 1
-    code[1, 0] = 31
-    key, none = np.zeros(3, np.int32), np.zeros(3, bool)
-    with_component = lambda known, component, key=key: sorted(map(tuple, simhash.near_pairs(key, code, np.array(component), np.array(known), 91, None).tolist()))
-    assert with_component(none, [0, 0, 0]) == [(1, 2)]
-    assert with_component([False, True, True], [0, 7, 7]) == [] and with_component([False, True, True], [0, 7, 8]) == [(1, 2)]
-    assert with_component(none, [0, 0, 0], np.array([0, 0, 1], np.int32)) == []
-    batch = lambda codes: pa.RecordBatch.from_arrays([pa.array([c.tobytes() for c in codes], pa.binary()), pa.array([None] * len(codes), pa.int64())], names=["fingerprint", "component"])
-    got = [r for b in simhash._candidates(91, None)(simhash._postings(1, simhash._PAIRS)([batch(code)])) for r in b.to_pylist()]
-    node = sorted(xxhash.xxh64_intdigest(code[i].tobytes(), 42) for i in (1, 2))
-    assert sorted(r[x] % 2**64 for r in got for x in "ab") == node
+def reach(n, pairs):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((find(int(a)), find(int(b))))
+        root[b] = a
+    return [find(i) for i in range(n)]
+
+
+def test_lists_join_all_that_is_near():
+    rng = np.random.default_rng(3)
+    for size in (30, 400):  # compared place by place, and searched
+        key = np.sort(rng.integers(0, 2 if size > 100 else 3, size)).astype(np.uint32)
+        code = rng.integers(0, 2**64, (12, 2), dtype=np.uint64)[rng.integers(0, 12, size)] ^ (np.uint64(1) << rng.integers(0, 64, (size, 2), dtype=np.uint64))
+        want = [(i, j) for i, j in combinations(range(size), 2) if key[i] == key[j] and np.bitwise_count(code[i] ^ code[j]).sum() <= 4]
+        assert reach(size, simhash.near_pairs(key, code, 4)) == reach(size, want)
+        a, b = np.array(want).T
+        moved, least = simhash.stars(a, b)
+        assert reach(size, zip(moved, least, strict=True)) == reach(size, want) and len(moved) < size
+
+
+def test_blocks_of_a_long_list_meet(spark):
+    texts = template_family(random.Random(5), 60, 3, 20)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cut = {r.doc_id: r.component_id for r in simhash.similar(df, list_rows=10).collect()}
+    assert cut == {r.doc_id: r.component_id for r in simhash.similar(df).collect()} and cut[60] == cut[0]
+
+
+def test_one_of_each_on_odd_rows(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near = text + " more"
+    rows = [(5, text, 1, True), (5, "another text under the same id as before", 2, True), (7, near, 3, None), (8, text, 4, True), (8, text, 4, True), (None, "no id here at all", 5, True), (None, near, 6, True), (9, None, 7, True), (10, " ", 8, True), (11, None, 9, True), (12, "alone in the world of words", 0, False), (12, "alone in the world of words", 0, False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, k1 long, maybe boolean")
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "", r.k1) for r in got.collect()) == sorted([(5, text, 1), (5, rows[1][1], 2), (0, "no id here at all", 5), (9, "", 7), (12, rows[-1][1], 0)])
+    assert simhash.one_of_each(df.limit(0)).count() == 0
 
 
 def template_family(rng, size, varied, pairs, words=300):
