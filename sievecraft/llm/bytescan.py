@@ -37,12 +37,21 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return _powers(base, max(17, int(n).bit_length()))
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * powers(len(data))[: len(data)], out=out[1:])
+def byte_values(data: np.ndarray) -> np.ndarray:
+    return _BYTES[data]
+
+
+def value_sums(values: np.ndarray) -> np.ndarray:
+    """Prefix sums of symbols of any values."""
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(len(values))[: len(values)], out=out[1:])
     return out
 
 
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    return value_sums(_BYTES[data])
+
+
 def fingerprints(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Of the strings from ``start`` to before ``end``."""
     return mixed((sums[end] - sums[start]) * powers(len(sums), True)[start])
@@ -82,6 +91,11 @@ for _a, _b in ((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)):
     _IN_WORD[_a : _b + 1] = False
 
 
+def in_word(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is one of a word, once it is lower-cased."""
+    return _IN_WORD[_LOWER[data]]
+
+
 def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and fingerprints of the words of lower-cased ``data``."""
     low = _LOWER[data]

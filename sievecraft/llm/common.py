@@ -77,16 +77,16 @@ def discard(*tables: DataFrame) -> None:
         delete(t.sparkSession, t._written_at)
 
 
-def written() -> int:
-    """A mark for ``sweep``."""
-    return len(_written)
+def written() -> list[str]:
+    """The tables that nobody has deleted yet, oldest first."""
+    return list(_written)
 
 
-def sweep(spark: SparkSession, mark: int = 0) -> None:
-    """Delete the tables that were materialised since the mark, once no result that is still wanted reads them."""
-    for path in _written[mark:]:
+def sweep(spark: SparkSession, paths: list[str]) -> None:
+    """Delete those of the tables that still stand, once no result that is still wanted reads them."""
+    for path in {*paths} & {*_written}:
+        _written.remove(path)
         delete(spark, path)
-    del _written[mark:]
 
 
 #: Bits of the filter of ``maybe_in``, as a power of two: its table has at most 2**19 rows.
