@@ -3,8 +3,8 @@
 1. toxicity: documents whose score reaches the threshold go.
 2. SimHash near-dedup: of each group of texts of an exact Jaccard similarity of five-word
    shingles of 0.8 or more, the one with the smallest id stays.
-3. suffix-array dedup: runs of over 50 words that occur elsewhere are cut out (and
-   fewer words of 400 bytes and more); a document goes if nothing but white space is left
+3. suffix-array dedup: runs of over 50 words that occur elsewhere are cut out, and so are
+   strings of 400 bytes and more; a document goes if nothing but white space is left
    of its text.
 4. benchmark decontamination: spans of benchmark windows are cut out; a document goes
    if no word is left of its text.
@@ -17,6 +17,7 @@ text as it is then.  Documents without a finding keep their text unchanged.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievecraft.llm import decontamination, mixing, simhash, substring_dedup, toxicity
-from sievecraft.llm.common import releasing, shared_folder, table
+from sievecraft.llm.common import delete, releasing, shared_folder, sweep, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 REST = COLUMNS[2:]
@@ -42,19 +43,13 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an id stay if no document with an id is in their group, one for each text."""
-    groups = simhash.similar(docs)
-    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    known = docs.select(*COLUMNS).join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    lonely = groups.filter("component_id IS NULL").select("fingerprint").distinct()
-    if lonely.isEmpty():
-        return known.select(*COLUMNS)
-    return known.select(*COLUMNS).unionByName(docs.select(*COLUMNS).filter("doc_id IS NULL").dropDuplicates(["text"]))
+    """Of a group, the document with the smallest id stays; rows without an id only where their group has none with one."""
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = substring_dedup.dedup(docs, keep=REST, with_text=True, words=PASSAGE_WORDS)
-    cut = F.col("n_removed") > 0
+    left = substring_dedup.dedup(docs, words=PASSAGE_WORDS, keep=REST, with_text=True)
+    cut = (F.col("n_removed") > 0) | (F.col("n_run_words") > 0)
     left = left.filter(~cut | F.col("kept").rlike(mixing.TOKEN))
     return left.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.when(cut, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
@@ -86,23 +81,46 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _swept(stage: Stage) -> Stage:
+    """A stage that first deletes the tables of the stage before, whose result is written by then."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        sweep(spark, _left)
+        before = written()
+        out = stage(spark, docs, sf_dir)
+        _left[:] = [x for x in written() if x not in before]
+        return out
+
+    return run
+
+
+_left: list[str] = []
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", reject_toxic),
-    ("SimHash near-dedup", drop_near_copies),
-    ("suffix-array dedup", cut_repeated_passages),
-    ("benchmark decontamination", decontaminate),
-    ("mixing sources to target weights", mix),
+    ("toxicity", _swept(reject_toxic)),
+    ("SimHash near-dedup", _swept(drop_near_copies)),
+    ("suffix-array dedup", _swept(cut_repeated_passages)),
+    ("benchmark decontamination", _swept(decontaminate)),
+    ("mixing sources to target weights", _swept(mix)),
 ]
 #: No stage but the last can be put into SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; each one's result is written to the shared folder and read again."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/tables/pipeline-{uuid.uuid4().hex}"
+    """Apply all stages to ``documents``; each one's result is written to the shared folder and read again.
+
+    Only the last result is left there: a stage's input goes when its output is written.
+    """
+    docs, folder, before = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/tables/pipeline-{uuid.uuid4().hex}", None
     for k, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{k}"
         out = stage(spark, docs, sf_dir)
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
