@@ -80,10 +80,8 @@ def url_key(url: Column) -> Column:
 
 
 def dns_blackhole(value: Column) -> Column:
-    v = F.rtrim(F.lower(strip(value)), F.lit("."))
-    parts = F.filter(F.transform(F.split(v, ";"), strip), lambda x: x != "")
-    first, third = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(3))
-    return v.isin(*sorted(fixed.DNS_BLOCK)) | F.coalesce(first.isin("nxdomain", "refused"), F.lit(False)) | F.coalesce((F.size(parts) == 3) & (first == "noerror") & third.isin("0.0.0.0", "::"), F.lit(False))
+    """Whether a DNS answer means that the host is blocked."""
+    return F.lower(value).rlike(fixed.DNS_BLACKHOLE)
 
 
 def selector_fault(selector: Column, profile: Profile) -> Column:

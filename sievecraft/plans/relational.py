@@ -107,9 +107,7 @@ def p04_split_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT name, count(*) AS n FROM (SELECT split_part(m, '=', 1) AS name FROM m) x GROUP BY name""")
 def p07_modifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     def names(text: str) -> dict:
-        from sievecraft.functions.annex import modifier_parts
-
-        found = [modifier_parts(m)[1] for m in g.split_modifiers(g.split_options(text)[1])]
+        found = [m.name for m in g.modifiers(g.split_options(text)[1])]
         return {"names": [fixed.ALIASES.get(n, n) for n in found]}
 
     rows = cp.classify(syn.lines(spark, sf_dir)).filter("kind = 'network'").select("text")

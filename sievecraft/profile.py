@@ -36,7 +36,12 @@ UNSUPPORTED = frozenset(
 IGNORED = frozenset({"important", "all", "not-important"})
 PARTIAL = frozenset({"generichide", "elemhide", "specifichide", "urlblock", "jsinject", "content", "extension"})
 METHODS = frozenset("get head options trace put delete post patch connect".split())
-DNS_BLOCK = frozenset({"", "0.0.0.0", "::", "127.0.0.1", "::1", "nxdomain", "refused", "ad-block.dns.adguard.com", "block.dns.adguard.com"})
+#: DNS answers (in lower case) that block a host: addresses and names, codes, and records of an empty address.
+DNS_BLACKHOLE = (
+    r"^\s*(?:|0\.0\.0\.0|::|127\.0\.0\.1|::1|nxdomain|refused|ad-block\.dns\.adguard\.com|block\.dns\.adguard\.com)[.\s]*$"
+    r"|^[\s;]*(?:nxdomain|refused)\s*;"
+    r"|^[\s;]*noerror\s*;[\s;]*[^;\s][^;]*;[\s;]*(?:0\.0\.0\.0|::)[.\s;]*$"
+)
 
 MARKERS = ("#@$?#", "#@$#", "#@?#", "#@%#", "#@#", "#$?#", "#$#", "#?#", "#%#", "##")
 EXTENDED_CSS = (
