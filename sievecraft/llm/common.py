@@ -51,20 +51,25 @@ def shared_folder(spark: SparkSession) -> str:
 _written: list[str] = []
 
 
-def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
+def materialise(df: DataFrame, name: str, partition_by: str | None = None, **options: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder, in one folder for each value of ``partition_by``, and read it back.
 
     Cuts the lineage (a lost executor costs a re-read, not a re-run), keeps
     columns prunable and is about a third of the size of a checkpoint of rows.
     """
     path = f"{shared_folder(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
     _written.append(path)
-    df.write.options(**{"compression": "zstd"} | options).parquet(path)
+    df.write.options(**{"compression": "zstd"} | options).parquet(path, partitionBy=partition_by)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out
 
 
+def deal(df: DataFrame, parts: int, by: str | Column) -> DataFrame:
+    """Rows by a number that already spreads them: the number itself tells the partition, so partitions are even."""
+    return df.repartitionById(parts, F.pmod(F.col(by) if isinstance(by, str) else by, F.lit(parts)).cast("int"))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
