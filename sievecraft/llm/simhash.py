@@ -197,12 +197,8 @@ SHORT_LIST = 48
 BLOCK_BYTES = 1 << 23
 
 
-def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
-    """Bits that over half of the distinct shingles have."""
-    return _wide_bits(np.unique(_hashes(text, shingle, SEED)))
-
-
 def _wide_bits(hashes: np.ndarray) -> bytes:
+    """Bits that over half of the distinct shingles have."""
     out = np.zeros(WIDE_WORDS * 64, np.int64)
     for part in range(0, len(hashes), 1 << 15):
         out += _ones(mixed(hashes[part : part + (1 << 15), None] * _SPREAD[None, :]))
@@ -219,9 +215,10 @@ def most_bits(similarity: float, words: int, deviations: float) -> int:
 def _wide(shingle: int):
     def run(batches):
         for b in batches:
-            values = [wide_fingerprint(t or b"", shingle) for t in b.column("text").cast(pa.binary()).to_pylist()]
+            sets = (np.unique(_hashes(t or b"", shingle, SEED)) for t in b.column("text").cast(pa.binary()).to_pylist())
+            values, sizes = zip(*((_wide_bits(x), len(x)) for x in sets), strict=True) if b.num_rows else ((), ())
             rest = b.drop_columns(["text"])
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(values, pa.binary())], names=[*rest.schema.names, "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(values, pa.binary()), pa.array(sizes, pa.int64())], names=[*rest.schema.names, "fingerprint", "size"])
 
     return run
 
@@ -448,20 +445,19 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     small_batches(spark)
     rows = no_clash(docs, id_col, text_col).toDF("doc_id", "text").withColumns(row_key("doc_id", "text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    wide = materialise(rows.mapInArrow(releasing(_wide(shingle)), f"doc_id {kind}, k1 long, k2 long, fingerprint binary"), "wide")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("lone"), "doc_id", "k1", "k2")).alias("first")
+    wide = materialise(rows.mapInArrow(releasing(_wide(shingle)), f"doc_id {kind}, k1 long, k2 long, fingerprint binary, size long"), "wide")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lone"), "doc_id", "k1", "k2", "size")).alias("first")
     nodes = materialise(wide.groupBy("fingerprint").agg(first, F.xxhash64("fingerprint").alias("node")), "nodes")
     family = families(nodes, similarity, list_rows)
-    member = materialise(nodes.join(family, "node").select("node", "family", "fingerprint", "first.k1", "first.k2"), "members")
+    member = nodes.join(family, "node").select("node", "family", "fingerprint", "first.k1", "first.k2", "first.size")
+    heavy = member.groupBy("family").agg(F.ceil(F.sum(8 * F.col("size") + 72) / BLOCK_BYTES).alias("blocks"))
+    member = materialise(member.join(heavy, "family").drop("size"), "members")
 
     texts = maybe_in(rows.select("k1", "k2", "text"), member, "k1", "k2").filter("maybe").select("k1", "k2", "text").dropDuplicates(["k1", "k2"])
-    texts = texts.join(member, ["k1", "k2"]).select("family", "node", "fingerprint", "text")
-    sets = materialise(texts.mapInArrow(releasing(_sets(shingle)), "family long, node long, fingerprint binary, shingles binary"), "sets")
-    count = F.ceil(F.sum(F.octet_length("shingles") + 72) / BLOCK_BYTES).alias("blocks")
-    large = sets.groupBy("family").agg(count).filter("blocks > 1")
-    blocks = F.coalesce("blocks", F.lit(1))
-    dealt = sets.join(large, "family", "left").withColumn("own", F.pmod(F.xxhash64("node"), blocks))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    texts = texts.join(member, ["k1", "k2"]).select("family", "blocks", "node", "fingerprint", "text")
+    sets = materialise(texts.mapInArrow(releasing(_sets(shingle)), "family long, blocks long, node long, fingerprint binary, shingles binary"), "sets")
+    dealt = sets.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select(F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other")).alias("block"), "node", "fingerprint", "shingles")
     reach = most_bits(similarity, WIDE_WORDS, 4.0)
     links = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(releasing(_exact(similarity, reach)), "a long, b long")
