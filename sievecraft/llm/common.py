@@ -9,15 +9,16 @@ the Python operators work on ``bytes`` and the native ones on Java patterns.
 from __future__ import annotations
 
 import ctypes
-import re
 import string
-import tempfile
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievecraft.tables import delete, discard, materialise, shared_folder, sweep, written
+
+__all__ = ["delete", "discard", "materialise", "shared_folder", "sweep", "written"]
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 TOKEN = r"[^\x20\x09-\x0D]+"
 ASCII_SPACE = b" \t\n\r\x0b\x0c"
@@ -32,68 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see: the session's checkpoint folder.
-
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and
-    everything runs on one machine, as in tests, a temporary folder is made and set.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sievecraft-"))
-    return sc.getCheckpointDir()
-
-
-#: Tables in the shared folder that nobody has deleted yet, oldest first.
-_written: list[str] = []
-
-
-def materialise(df: DataFrame, name: str, partition_by: str | None = None, **options: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder, in one folder for each value of ``partition_by``, and read it back.
-
-    Cuts the lineage (a lost executor costs a re-read, not a re-run), keeps
-    columns prunable and is about a third of the size of a checkpoint of rows.
-    """
-    path = f"{shared_folder(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
-    _written.append(path)
-    df.write.options(**{"compression": "zstd"} | options).parquet(path, partitionBy=partition_by)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._written_at = path
-    return out
-
-
 def deal(df: DataFrame, parts: int, by: str | Column) -> DataFrame:
     """Rows by a number that already spreads them: the number itself tells the partition, so partitions are even."""
     return df.repartitionById(parts, F.pmod(F.col(by) if isinstance(by, str) else by, F.lit(parts)).cast("int"))
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete materialised tables that nothing reads any more."""
-    for t in tables:
-        _written.remove(t._written_at)
-        delete(t.sparkSession, t._written_at)
-
-
-def written() -> list[str]:
-    """The tables that nobody has deleted yet, oldest first."""
-    return list(_written)
-
-
-def sweep(spark: SparkSession, paths: list[str]) -> None:
-    """Delete those of the tables that still stand, once no result that is still wanted reads them."""
-    for path in {*paths} & {*_written}:
-        _written.remove(path)
-        delete(spark, path)
-
-
 #: Bits of the filter of ``maybe_in``, as a power of two: its table has at most 2**19 rows.
 FILTER_BITS = 25
 
