@@ -23,7 +23,9 @@ from sievecraft.functions import annex
 from sievecraft.functions import columns as c
 from sievecraft.functions import grammar as g
 from sievecraft.functions import translate
+from sievecraft.functions.ranks import block, ranked
 from sievecraft.profile import BUCKET, TRIGGER_DDL, Profile
+from sievecraft.tables import discard, materialise
 
 RULES_DDL = f"array<struct<bucket: int, trigger: {TRIGGER_DDL}, action: string>>"
 NETWORK_DDL = f"rules: {RULES_DDL}, lifted: array<string>, annex: array<{annex.DDL}>, notes: array<string>, reason: string, atomic: boolean, key: struct<exception: boolean, pattern: string, modifiers: string>, drops: struct<exception: boolean, pattern: string, modifiers: string>"
@@ -39,11 +41,11 @@ class Compiled:
     lines: DataFrame  # list_id, line_no, kind, reason
     notes: DataFrame  # list_id, note, n
     selectors: DataFrame  # list_id, trigger, selector, first, copies
-    kept: tuple[DataFrame, ...] = ()  # persisted tables that all of these are made from
+    kept: tuple[DataFrame, ...] = ()  # written tables that all of these are made from
 
     def release(self) -> None:
-        for df in self.kept:
-            df.unpersist()
+        """Delete the tables; nothing of the compilation can be read any more."""
+        discard(*self.kept)
 
 
 def read_with(rows: DataFrame, inputs: list[str], function: Callable[..., dict], ddl: str) -> DataFrame:
@@ -102,12 +104,9 @@ def _network_reader(profile: Profile):
     def read(text: str) -> dict:
         out = translate.network(text, profile)
         names = ("exception", "pattern", "modifiers")
-        try:
-            out["key"] = dict(zip(names, translate.rule_key(text), strict=True))
-            if "badfilter" in text:
-                out["drops"] = dict(zip(names, translate.rule_key(text, "badfilter"), strict=True))
-        except Exception:  # noqa: BLE001 - an unreadable line retracts nothing
-            pass
+        out["key"] = dict(zip(names, translate.rule_key(text), strict=True))
+        if "badfilter" in text:
+            out["drops"] = dict(zip(names, translate.rule_key(text, "badfilter"), strict=True))
         return out
 
     return read
@@ -223,9 +222,9 @@ def css_rules(selectors: DataFrame, profile: Profile) -> tuple[DataFrame, DataFr
     moved = generic.filter(F.size("costly") > 0) if profile.keep_extended else generic.limit(0)
     stay = generic.withColumn("selector", F.when((F.size("costly") > 0) & F.lit(profile.keep_extended), F.col("rest")).otherwise(F.col("selector"))).filter("selector <> ''").drop("costly", "rest")
     rows = stay.unionByName(rows.filter("NOT generic"))
-    slot = W.partitionBy("list_id", "trigger")
-    n = F.row_number().over(slot.orderBy("first", "selector")) - 1
-    rows = rows.withColumns({"packet": F.floor(n / profile.css_group_size), "n": n, "slot": F.min("first").over(slot)})
+    # All generic selectors of a list share one trigger, so places come from blocks of lines.
+    rows = ranked(rows.withColumn("_of", F.xxhash64("trigger")), ["list_id", "_of", "trigger"], [block("first")], ["first", "selector"], "n", least="first")
+    rows = rows.drop("_of").withColumnRenamed("least", "slot").withColumn("packet", F.floor(F.col("n") / profile.css_group_size))
     packets = rows.groupBy("list_id", "trigger", "shown", "generic", "slot", "packet").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "selector"))), lambda x: x["selector"]), ", ").alias("css"))
     domains = F.col("shown")["if-domain"]
     others = [F.col("shown")[k].isNull() for k in fixed.TRIGGER_KEYS if k not in ("url-filter", "if-domain")]
@@ -259,12 +258,12 @@ def keep_first(rules: DataFrame) -> DataFrame:
 def compile_lists(lines: DataFrame, profile: Profile | None = None, hosts: DataFrame | None = None) -> Compiled:
     """``lines``: list_id, line_no, raw.  ``hosts``: the dialect of each list; found by sampling if it is not given.
 
-    Lines are read once: what they say is persisted (it spills to disk, and lost blocks are
-    read again), and rules, reports, side table and overlap are made from that.
+    Lines are read once: what they say is written as tables in the shared folder, and rules, reports,
+    side table and overlap are made from these.
     """
     profile = profile or Profile()
-    classified = classify(lines, detect_hosts(lines) if hosts is None else hosts).persist()
-    net, cos = network_rows(classified, profile).persist(), cosmetic_rows(classified, profile).persist()
+    classified = materialise(classify(lines, detect_hosts(lines) if hosts is None else hosts), "classified")
+    net, cos = materialise(network_rows(classified, profile), "network"), materialise(cosmetic_rows(classified, profile), "cosmetic")
     exploded = net.select("list_id", F.col("line_no").alias("k1"), "atomic", F.posexplode("rules").alias("k2", "_rule")).select(
         "list_id", "_rule.bucket", "k1", F.col("k2").cast("long").alias("k2"), F.lit(0).cast("long").alias("k3"), "atomic", "_rule.trigger", "_rule.action"
     )
@@ -275,6 +274,7 @@ def compile_lists(lines: DataFrame, profile: Profile | None = None, hosts: DataF
     css, costly = css_rules(shown, profile)
     network = once.withColumn("selector", F.lit(None).cast("string")).drop("copies")
     rules = network.unionByName(css).unionByName(document_guards(network, profile))
+    rules = materialise(rules, "rules")
     entries = net.select("list_id", "line_no", F.posexplode("annex").alias("sub", "entry")).unionByName(cos.filter("entry IS NOT NULL").select("list_id", "line_no", F.lit(0).alias("sub"), "entry")).unionByName(costly)
     status = net.select("list_id", "line_no", F.lit("network").alias("kind"), "reason").unionByName(cos.select("list_id", "line_no", F.lit("cosmetic").alias("kind"), F.when(F.col("marker") != "#@#", F.col("reason")).alias("reason")))
     lost = classified.filter("kind = 'prefixed'").join(cos.select("list_id", "line_no"), ["list_id", "line_no"], "left_anti")
@@ -285,7 +285,7 @@ def compile_lists(lines: DataFrame, profile: Profile | None = None, hosts: DataF
     merged = once.select("list_id", (F.col("copies") - 1).alias("n")).unionByName(selectors.select("list_id", (F.col("copies") - 1).alias("n")))
     counted = counted.unionByName(merged.groupBy("list_id").agg(F.sum("n").alias("n")).filter("n > 0").select("list_id", F.lit("duplicate_merged").alias("note"), "n"))
     counted = counted.unionByName(bare.groupBy("list_id").agg(F.count("*").alias("n")).select("list_id", F.lit("site_lifted").alias("note"), "n"))
-    return Compiled(rules, entries, status, counted, selectors, (classified, net, cos))
+    return Compiled(rules, entries, status, counted, selectors, (classified, net, cos, rules))
 
 
 def document_guards(rules: DataFrame, profile: Profile) -> DataFrame:
@@ -298,5 +298,9 @@ def document_guards(rules: DataFrame, profile: Profile) -> DataFrame:
 
 
 def assemble(rules: DataFrame) -> DataFrame:
-    """Adds ``position``, the place of a rule in its list's output."""
-    return rules.withColumn("position", F.row_number().over(W.partitionBy("list_id").orderBy("bucket", "k1", "k2", "k3")).cast("long"))
+    """Adds ``position``, the place of a rule in its list's output, from 1.
+
+    Order is by section, line, part and packet.  Rules are numbered in blocks of a section's lines, so a list is never sorted by one task.
+    """
+    placed = ranked(rules, ["list_id"], [F.col("bucket"), block("k1")], ["k1", "k2", "k3"], "position")
+    return placed.withColumn("position", F.col("position") + 1)

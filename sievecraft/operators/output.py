@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
-import os
+from bisect import bisect_left
+from datetime import UTC, datetime
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sievecraft.functions import annex as annex_fields
+from sievecraft.functions.ranks import digest
 from sievecraft.operators.compile import Compiled, assemble
 from sievecraft.profile import BUCKET, BUCKETS, TAIL, Profile
 
@@ -32,11 +34,11 @@ def chunk_cuts(groups: DataFrame, sizes: DataFrame, max_rules: int) -> DataFrame
         if room < min(1000, max_rules // 2):
             raise ValueError(f"exceptions leave room for {room} rules a file")
         ranges = sorted(zip(pdf.start.tolist(), pdf.n.tolist(), strict=True))
-        at, cuts = 0, []
+        starts, at, cuts = [s for s, _ in ranges], 0, []
         while at + room < body:
             end = at + room
-            inside = next((s for s, n in ranges if s < end < s + n), None)
-            at = end if inside is None else max(inside, at + 1)
+            start, n = ranges[max(0, bisect_left(starts, end) - 1)]  # ranges do not overlap: the last to start before a cut is the one it may hit
+            at = max(start, at + 1) if start < end < start + n else end
             cuts.append(at)
         return pd.DataFrame({"list_id": [pdf.list_id.iloc[0]], "cuts": [cuts]})
 
@@ -66,18 +68,39 @@ def rule_json(with_selector: bool = True) -> Column:
     return F.to_json(F.struct(F.col("trigger"), action.alias("action")))
 
 
+_CSS = (BUCKET["generic_css"], BUCKET["specific_css"])
+
+
+def tally(compiled: Compiled) -> DataFrame:
+    """One row per list: numbers of lines, rules by section, and maps of reasons, notes and side-table families.
+
+    All that is counted goes through one aggregation by (list, what, key), and the few rows of it through one by list.
+    """
+    one, what = F.lit(1).cast("long").alias("n"), lambda name: F.lit(name).alias("what")
+    lines = compiled.lines
+    facts = lines.select("list_id", what("line"), F.col("kind").alias("key"), one)
+    facts = facts.unionByName(lines.filter("reason IS NOT NULL").select("list_id", what("reason"), F.col("reason").alias("key"), one))
+    facts = facts.unionByName(compiled.rules.select("list_id", what("rule"), F.col("bucket").cast("string").alias("key"), one))
+    facts = facts.unionByName(compiled.selectors.select("list_id", what("selector"), F.lit("").alias("key"), one))
+    facts = facts.unionByName(compiled.notes.select("list_id", what("note"), F.col("note").alias("key"), F.col("n").cast("long").alias("n")))
+    facts = facts.unionByName(compiled.annex.select("list_id", what("family"), F.col("entry.family").alias("key"), one))
+    rows = facts.groupBy("list_id", "what", "key").agg(F.sum("n").alias("n"))
+    number = lambda name, *keys: F.coalesce(F.sum(F.when((F.col("what") == name) & (F.col("key").isin(*keys) if keys else F.lit(True)), F.col("n"))), F.lit(0).cast("long"))
+    mapped = lambda name: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("what") == name, F.struct("key", "n"))))).alias(f"{name}s")
+    own = [number("rule", str(i)).alias(name) for i, name in enumerate(BUCKETS)]
+    network = [str(i) for i in range(len(BUCKETS)) if i not in (*_CSS, BUCKET["guard"])]
+    converted = number("rule", *network) + number("selector")
+    out = rows.groupBy("list_id").agg(
+        number("line").alias("lines_total"), number("line", "network", "cosmetic").alias("rules_in"), number("line", "comment").alias("comments"), number("reason").alias("skipped"),
+        converted.alias("converted"), number("rule").alias("rules_out"), *own, mapped("reason"), mapped("note"), mapped("family"),
+    )
+    share = F.when(F.col("rules_in") > 0, F.bround(100.0 * F.col("converted") / F.col("rules_in"), 2)).otherwise(F.lit(0.0))
+    return out.filter("lines_total > 0").withColumn("coverage_pct", share)
+
+
 def counts(compiled: Compiled) -> DataFrame:
     """(list_id, lines_total, rules_in, comments, skipped, converted, coverage_pct)."""
-    lines = compiled.lines.groupBy("list_id").agg(
-        F.count("*").alias("lines_total"), F.count_if(F.col("kind").isin("network", "cosmetic")).alias("rules_in"), F.count_if(F.col("kind") == "comment").alias("comments"),
-        F.count_if(F.col("reason").isNotNull()).alias("skipped"),
-    )
-    network = compiled.rules.filter(~F.col("bucket").isin(BUCKET["generic_css"], BUCKET["specific_css"], BUCKET["guard"])).groupBy("list_id").agg(F.count("*").alias("n"))
-    merged = compiled.selectors.groupBy("list_id").agg(F.count("*").alias("m"))
-    joined = lines.join(network, "list_id", "left").join(merged, "list_id", "left")
-    converted = F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))
-    share = F.when(F.col("rules_in") > 0, F.bround(100.0 * converted / F.col("rules_in"), 2)).otherwise(F.lit(0.0))
-    return joined.select("list_id", "lines_total", "rules_in", "comments", "skipped", converted.alias("converted"), share.alias("coverage_pct"))
+    return tally(compiled).select("list_id", "lines_total", "rules_in", "comments", "skipped", "converted", "coverage_pct")
 
 
 def breakdown(rules: DataFrame) -> DataFrame:
@@ -104,28 +127,26 @@ def published(report: DataFrame, profile: Profile) -> DataFrame:
 
 def report(compiled: Compiled, profile: Profile | None = None) -> DataFrame:
     """One row per list: counts, sections, side-table families, reasons, notes and the publication gate."""
-    profile = profile or Profile()
-    pairs = lambda df, k: df.groupBy("list_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, "n")))).alias(f"{k}s"))
-    families = compiled.annex.groupBy("list_id", F.col("entry.family").alias("family")).agg(F.count("*").alias("n"))
-    out = counts(compiled).join(breakdown(compiled.rules), "list_id", "left").na.fill(0)
-    for part in (pairs(reasons(compiled.lines), "reason"), pairs(compiled.notes, "note"), pairs(families, "family")):
-        out = out.join(part, "list_id", "left")
-    return published(out, profile)
+    return published(tally(compiled), profile or Profile())
 
 
-def totals(reports: DataFrame) -> DataFrame:
-    """One row over all lists and over the published ones."""
+def _totals() -> list[Column]:
     shown = lambda col: F.sum(F.when(F.col("published"), F.col(col)).otherwise(0))
-    return reports.agg(
-        F.count("*").alias("lists"), F.count_if("published").alias("lists_published"), F.sum("rules_in").alias("rules_in"), F.sum("rules_out").alias("rules_out"),
+    return [
+        F.count("*").alias("lists_"), F.count_if("published").alias("lists_published"), F.sum("rules_in").alias("rules_in"), F.sum("rules_out").alias("rules_out"),
         shown("rules_in").alias("published_in"), shown("rules_out").alias("published_out"), F.sum("skipped").alias("skipped"),
-    )
+    ]
+
+
+def totals(reports: DataFrame) -> DataFrame:
+    """One row over all lists and over the published ones."""
+    return reports.agg(*_totals()).withColumnRenamed("lists_", "lists")
 
 
 def capabilities(reports: DataFrame) -> DataFrame:
     """What each list does: network and cosmetic rules, exceptions, side-table entries."""
     b = lambda *names: sum((F.col(n) for n in names), F.lit(0))
-    extended = F.aggregate(F.map_values(F.coalesce("familys", F.expr("map()").cast("map<string, bigint>"))), F.lit(0).cast("long"), lambda a, x: a + x)
+    extended = F.aggregate(F.map_values("familys"), F.lit(0).cast("long"), lambda a, x: a + x)
     return reports.select(
         "list_id", b("block", "block_document").alias("network"), b("generic_css", "specific_css").alias("cosmetic"), b("cookie").alias("cookies"),
         b("generichide", "urlblock", "exception", "page_exception").alias("exceptions"), extended.alias("extended"),
@@ -136,8 +157,8 @@ def catalogue_json(reports: DataFrame) -> DataFrame:
     """The output catalogue as one JSON document of totals, published and unpublished lists."""
     row = F.struct("list_id", "rules_in", "rules_out", "coverage_pct")
     listed = lambda cond, name: F.array_sort(F.collect_list(F.when(cond, row))).alias(name)
-    body = reports.agg(listed(F.col("published"), "lists"), listed(~F.col("published"), "unpublished"))
-    return totals(reports).crossJoin(body).select(F.to_json(F.struct(F.lit(2).alias("schema"), F.struct("lists_published", "rules_in", "rules_out", "published_out").alias("totals"), body["lists"], "unpublished")).alias("json"))
+    whole = reports.agg(*_totals(), listed(F.col("published"), "lists"), listed(~F.col("published"), "unpublished"))
+    return whole.select(F.to_json(F.struct(F.lit(2).alias("schema"), F.struct("lists_published", "rules_in", "rules_out", "published_in", "published_out", "skipped").alias("totals"), whole["lists_"].alias("lists_total"), "lists", "unpublished")).alias("json"))
 
 
 def markdown(reports: DataFrame, lines: DataFrame) -> str:
@@ -172,64 +193,123 @@ def annex_counts(entries: DataFrame) -> DataFrame:
 
 def annex_digest(entries: DataFrame) -> DataFrame:
     """A digest of each list's entries in their order; the same list always has the same."""
-    rows = entries.filter("entry.family <> 'raw_js'").select("list_id", "line_no", "sub", F.concat("entry.family", F.lit(":"), compact_entry()).alias("j"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "sub", "j"))), lambda x: x["j"]), "\n")
-    return rows.groupBy("list_id").agg(F.sha2(text, 256).alias("digest"))
+    rows = entries.filter("entry.family <> 'raw_js'").select("list_id", "line_no", "sub", F.concat("entry.family", F.lit(":"), compact_entry(), F.lit("\n")).alias("j"))
+    return digest(rows, "list_id", ["line_no", "sub"], "j").select("list_id", "digest")
 
 
 # ------------------------------------------------------------------------- files
 
 
-def write_rules(chunked: DataFrame, folder: str) -> list[dict]:
-    """One file per list and chunk, each a JSON array, written to a temporary name and renamed.
+def now_iso() -> str:
+    """The time in UTC, to the second."""
+    return datetime.now(UTC).isoformat(timespec="seconds")
+
 
-    Rules are sorted by the engine and streamed to the driver, which holds one rule at a
-    time: the files are made for a client and leave the cluster here.
+def _fs(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    fs, where = _fs(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text in any store, under a temporary name until it is whole."""
+    fs, where = _fs(spark, path)
+    part = where.suffix(".tmp")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(where, False)
+    if not fs.rename(part, where):
+        raise OSError(f"{part} could not be renamed")
+
+
+def write_named(rows: DataFrame, folder: str) -> list[dict]:
+    """Write each ``file`` of ``rows`` (file, place, line) to ``folder`` by that name, its lines in order; (file, lines, bytes) of each.
+
+    A task writes whole files, to a folder beside; the driver only renames them.
     """
-    os.makedirs(folder, exist_ok=True)
-    rows = chunked.select("list_id", "chunk", "position", rule_json().alias("j")).orderBy("list_id", "chunk", "position")
-    many = {r.list_id for r in chunked.filter("chunk > 1").select("list_id").distinct().collect()}
-    done, out, key = [], None, None
-    for r in rows.toLocalIterator(prefetchPartitions=True):
-        if (r.list_id, r.chunk) != key:
-            _close(out, done)
-            key = (r.list_id, r.chunk)
-            name = f"{r.list_id}-{r.chunk}.json" if r.list_id in many else f"{r.list_id}.json"
-            out = (open(os.path.join(folder, name + ".tmp"), "w", encoding="utf-8"), os.path.join(folder, name), [0])
-        out[0].write(("[" if not out[2][0] else ",") + r.j)
-        out[2][0] += 1
-    _close(out, done)
-    return done
-
-
-def _close(out, done: list[dict]) -> None:
-    if out is not None:
-        handle, path, n = out
-        handle.write("]\n")
-        handle.close()
-        os.replace(path + ".tmp", path)
-        done.append({"file": os.path.basename(path), "rules": n[0], "bytes": os.path.getsize(path)})
+    spark, staging = rows.sparkSession, f"{folder}/.staging-{datetime.now(UTC):%Y%m%d%H%M%S%f}"
+    rows.select("file", "place", "line").repartition("file").sortWithinPartitions("file", "place").select("file", F.col("line").alias("value")).write.partitionBy("file").text(staging)
+    fs, root = _fs(spark, staging)
+    unescape, done = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName, []
+    for own in fs.listStatus(root):
+        if not own.isDirectory():
+            continue
+        name = unescape(own.getPath().getName().split("=", 1)[1])
+        parts = [f for f in fs.listStatus(own.getPath()) if f.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise OSError(f"{name} was written in {len(parts)} parts")
+        target = _fs(spark, f"{folder}/{name}")[1]
+        fs.delete(target, False)
+        if not fs.rename(parts[0].getPath(), target):
+            raise OSError(f"{name} could not be renamed")
+        done.append({"file": name, "bytes": parts[0].getLen()})
+    fs.delete(root, True)
+    return sorted(done, key=lambda d: d["file"])
+
+
+def write_rules(chunked: DataFrame, folder: str) -> list[dict]:
+    """One file per list and chunk, each a JSON array with a rule a line; (file, list_id, rules, bytes) of each, a row a file."""
+    many = chunked.groupBy("list_id").agg((F.max("chunk") > 1).alias("many"))
+    sizes = chunked.groupBy("list_id", "chunk").agg(F.count("*").alias("rules"), F.min("position").alias("_first"), F.max("position").alias("_last"))
+    named = sizes.join(many, "list_id").withColumn("file", F.concat("list_id", F.when(F.col("many"), F.concat(F.lit("-"), "chunk")).otherwise(F.lit("")), F.lit(".json")))
+    rows = chunked.select("list_id", "chunk", "position", rule_json().alias("j")).join(named, ["list_id", "chunk"])
+    line = F.concat(F.when(F.col("position") == F.col("_first"), "[").otherwise(","), "j", F.when(F.col("position") == F.col("_last"), "]").otherwise(""))
+    written = {d["file"]: d["bytes"] for d in write_named(rows.select("file", F.col("position").alias("place"), line.alias("line")), folder)}
+    return [{"file": r.file, "list_id": r.list_id, "rules": r.rules, "bytes": written[r.file]} for r in named.orderBy("list_id", "chunk").collect()]
 
 
 def write_annex(entries: DataFrame, folder: str) -> list[dict]:
-    """One file per list: counts, digest, and the entries by family."""
-    os.makedirs(folder, exist_ok=True)
-    digests = {r.list_id: r.digest for r in annex_digest(entries).collect()}
-    done = []
-    for row in entries.select("list_id").distinct().orderBy("list_id").collect():
-        own = entries.filter(F.col("list_id").eqNullSafe(row.list_id)).orderBy("line_no", "sub").select("entry.family", compact_entry().alias("j"))
-        groups: dict[str, list] = {}
-        for r in own.toLocalIterator():
-            groups.setdefault(r.family, []).append(json.loads(r.j))
-        payload = {"counts": {k: len(v) for k, v in groups.items()}, "sha256": digests.get(row.list_id)} | {k: v for k, v in groups.items() if k != "raw_js"}
-        path = os.path.join(folder, f"{row.list_id}.json")
-        with open(path + ".tmp", "w", encoding="utf-8") as f:
-            json.dump(payload, f, separators=(",", ":"), ensure_ascii=False)
-        os.replace(path + ".tmp", path)
-        done.append({"file": os.path.basename(path), **payload["counts"]})
-    return done
+    """One file per list: counts, digest, and the entries by family; counts and digest of each, a row a list."""
+    per = entries.groupBy("list_id", F.col("entry.family").alias("family")).agg(F.count("*").alias("n"), F.min(F.struct("line_no", "sub")).alias("_first"))
+    counts = per.groupBy("list_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("family", "n")))).alias("counts"), F.max(F.when(F.col("family") != "raw_js", F.col("family"))).alias("_end"))
+    heads = counts.join(annex_digest(entries), "list_id", "left")
+    name = F.concat("list_id", F.lit(".json"))
+    begin = heads.select(name.alias("file"), F.struct(F.lit("").alias("family"), F.lit(0).cast("long").alias("line_no"), F.lit(0).alias("sub")).alias("place"), F.concat(F.lit('{"counts":'), F.to_json("counts"), F.lit(',"sha256":'), F.coalesce(F.concat(F.lit('"'), "digest", F.lit('"')), F.lit("null")), F.when(F.col("_end").isNull(), "}").otherwise("")).alias("line"))
+    own = entries.filter("entry.family <> 'raw_js'").select("list_id", F.col("entry.family").alias("family"), "line_no", "sub", compact_entry().alias("j"))
+    own = own.join(per.select("list_id", "family", "_first", "n"), ["list_id", "family"])
+    opens = (F.col("line_no") == F.col("_first.line_no")) & (F.col("sub") == F.col("_first.sub"))
+    line = F.concat(F.when(opens, F.concat(F.lit(',"'), "family", F.lit('":['))).otherwise(","), "j")
+    closing = per.filter("family <> 'raw_js'").join(heads.select("list_id", "_end"), "list_id")
+    closing = closing.select(name.alias("file"), F.struct("family", F.lit(1 << 62).alias("line_no"), F.lit(0).alias("sub")).alias("place"), F.when(F.col("family") == F.col("_end"), "]}").otherwise("]").alias("line"))
+    rows = own.select(name.alias("file"), F.struct("family", "line_no", F.col("sub").cast("int").alias("sub")).alias("place"), line.alias("line"))
+    written = {d["file"]: d["bytes"] for d in write_named(begin.unionByName(rows).unionByName(closing), folder)}
+    return [{"file": f"{r.list_id}.json", "list_id": r.list_id, "bytes": written[f"{r.list_id}.json"], "sha256": r.digest, **r.counts} for r in heads.orderBy("list_id").collect()]
 
 
 def stale(existing: DataFrame, produced: DataFrame, key: str = "file") -> DataFrame:
     """Files that nothing produces any more."""
     return existing.join(produced, key, "left_anti")
+
+
+def purge(spark: SparkSession, folder: str, produced: list[str], suffix: str = ".json", keep: tuple[str, ...] = ("index.json",)) -> list[str]:
+    """Delete the files of an earlier run that this one, a full one, has not made; their names."""
+    names = [x for x in file_names(spark, folder) if x.endswith(suffix) and x not in keep]
+    if not names:
+        return []
+    listed = lambda x: spark.createDataFrame([(n,) for n in x], "file string")
+    gone = sorted(r.file for r in stale(listed(names), listed(produced)).collect())
+    for name in gone:
+        fs, where = _fs(spark, f"{folder}/{name}")
+        fs.delete(where, False)
+    return gone
+
+
+def report_json(reports: DataFrame) -> DataFrame:
+    """(list_id, json): the report of each list as one document."""
+    return reports.select("list_id", F.to_json(F.struct(*reports.columns)).alias("json"))
+
+
+def summary(reports: DataFrame) -> str:
+    """What a run has done, for a terminal: a line for all lists and one for those that are left out."""
+    t = totals(reports).first()
+    out = [f"{t.lists_published} lists, {t.published_out} rules of {t.published_in} entries; {t.skipped} entries left out"]
+    if t.lists > t.lists_published:
+        out.append(f"{t.lists - t.lists_published} lists are not published, as they give too little")
+    return "\n".join(out) + "\n"

@@ -122,7 +122,7 @@ CASES: dict[str, tuple[Callable[[str], str], dict[str, str]]] = {
     }),
     "p29_top_level": (lambda t: " ; ".join(g.Domains().add(t, False).included), {"it": "*it", "qq.net>>": "*qq.net", "qq.net|~u.net": "*qq.net"}),
     "src05_slug": (slug, {"Žlutý qq & Co": "zluty-qq-and-co", "": "list", "U  qq--V": "u-qq-v"}),
-    "src10_directive": (lambda t: str(g.directive_holds(t)), {"adguard && !qq": "True", "qq": "False", "(qq || adguard": "True", "!(qq && b)": "True", "!(!qq || adguard) || qq": "False", "qq qq": "True"}),
+    "src10_directive": (lambda t: str(g.directive_holds(t)), {"adguard && !qq": "True", "qq": "False", "(qq || adguard": "True", "!(qq && b)": "True", "!(!qq || adguard) || qq": "False", "qq adguard": "False", "adguard qq": "True", "!(adguard": "False"}),
     "src09_directives": (lambda t: " ".join(g.preprocess(t.split(" | "))[0]), {"qq | !#if x | b | !#else | c | !#endif | d": "qq c d", "!#if adguard | qq | !#if x | b | !#endif | !#endif": "qq"}),
 }
 WORD = "concat('w', s_suppkey)"

@@ -170,16 +170,17 @@ def f04_f05_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
 KEPT = f"({DUCK.replace('AS line_no', 'AS line_no')}) l"
 
 
-@query(f"SELECT l.list_id, l.line_no FROM {KEPT} WHERE k = 0 AND NOT EXISTS (SELECT 1 FROM ({DUCK}) b WHERE b.k = 7 AND b.list_id = l.list_id AND b.host = l.host)")
+@query(f"SELECT l.list_id, l.line_no FROM {KEPT} WHERE k IN (0, 1, 5, 6, 9) AND NOT (k = 0 AND EXISTS (SELECT 1 FROM ({DUCK}) b WHERE b.k = 7 AND b.list_id = l.list_id AND b.host = l.host))")
 def jn01_badfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cp.network_rows(cp.classify(syn.lines(spark, sf_dir)), Profile())
-    return rows.filter("reason IS NULL AND line_no % 12 = 0").select("list_id", "line_no")
+    return rows.filter("reason IS NULL").select("list_id", "line_no")
 
 
-@query(f"SELECT l.list_id, l.line_no, host AS site FROM {KEPT} WHERE k = 2 AND NOT EXISTS (SELECT 1 FROM ({DUCK}) b WHERE b.k = 8 AND b.list_id = l.list_id AND b.host = l.host AND b.line_no % 7 = l.line_no % 7)")
+@query(f"""SELECT l.list_id, l.line_no, CASE k WHEN 2 THEN host END AS site FROM {KEPT} WHERE k = 4 OR k = 2 AND NOT EXISTS
+ (SELECT 1 FROM ({DUCK}) b WHERE b.k = 8 AND b.list_id = l.list_id AND b.host = l.host AND b.line_no % 7 = l.line_no % 7)""")
 def jn02_lifted_selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cp.cosmetic_rows(cp.classify(syn.lines(spark, sf_dir)), Profile())
-    return rows.filter("reason IS NULL AND line_no % 12 = 2").select("list_id", "line_no", F.ltrim(F.get(F.col("trigger")["if-domain"], F.lit(0)), F.lit("*")).alias("site"))
+    return rows.filter("reason IS NULL").select("list_id", "line_no", F.ltrim(F.get(F.col("trigger")["if-domain"], F.lit(0)), F.lit("*")).alias("site"))
 
 
 @query("SELECT n_nationkey, n_nationkey % 5 <> 0 AS kept FROM nation")
@@ -265,6 +266,25 @@ def so03_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.chunks(rows, 1000).groupBy("list_id", "chunk").agg(F.count("*").alias("n"))
 
 
+_PARTS = """r AS (SELECT l_returnflag AS list_id, l_orderkey AS k1, CASE WHEN l_orderkey % 50 = 0 THEN 8 ELSE 2 END AS bucket, l_linenumber AS k2, l_orderkey % 3 = 0 AS atomic FROM lineitem),
+o AS (SELECT *, row_number() OVER (PARTITION BY list_id ORDER BY bucket, k1, k2) - 1 AS spot FROM r),
+z AS (SELECT list_id, count(*) FILTER (WHERE bucket = 2) AS body, count(*) FILTER (WHERE bucket = 8) AS tail FROM o GROUP BY list_id),
+g AS (SELECT list_id, min(spot) AS start, count(*) AS n FROM o WHERE atomic AND bucket = 2 GROUP BY list_id, k1),
+c AS (SELECT list_id, 0::BIGINT AS spot, body, 3000 - tail AS room FROM z WHERE body + tail > 3000
+ UNION ALL SELECT c.list_id, coalesce((SELECT max(greatest(g.start, c.spot + 1)) FROM g WHERE g.list_id = c.list_id AND g.start < c.spot + c.room AND c.spot + c.room < g.start + g.n), c.spot + c.room), body, room FROM c WHERE c.spot + c.room < body),
+u AS (SELECT o.list_id, CASE WHEN bucket = 2 THEN (SELECT count(*) FROM c WHERE c.list_id = o.list_id AND c.spot <= o.spot AND c.spot > 0) + 1 END AS chunk, bucket FROM o),
+m AS (SELECT z.list_id, (SELECT count(*) FROM c WHERE c.list_id = z.list_id AND c.spot > 0) + 1 AS chunks, tail FROM z)"""
+
+
+@query(f"""WITH RECURSIVE {_PARTS} SELECT m.list_id, CAST(x.chunk AS INTEGER) AS chunk, CAST(x.n + m.tail AS BIGINT) AS n, m.tail AS tail
+ FROM m JOIN (SELECT list_id, chunk, count(*) AS n FROM u WHERE bucket = 2 GROUP BY ALL) x USING (list_id)""")
+def so03_tail_and_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every third order stand together, those of every fiftieth at the end of each file; 3,000 lines a file."""
+    rows = syn.sql(spark, sf_dir, "SELECT * FROM lineitem").select(F.col("l_returnflag").alias("list_id"), F.when(F.col("l_orderkey") % 50 == 0, BUCKET["exception"]).otherwise(BUCKET["block"]).alias("bucket"), F.col("l_orderkey").alias("k1"), F.col("l_linenumber").cast("long").alias("k2"), F.lit(0).cast("long").alias("k3"), (F.col("l_orderkey") % 3 == 0).alias("atomic"))
+    placed = output.chunks(rows.withColumn("atomic", F.col("atomic") & (F.col("bucket") == BUCKET["block"])), 3000)
+    return placed.groupBy("list_id", "chunk").agg(F.count("*").alias("n"), F.count_if(F.col("bucket") == BUCKET["exception"]).alias("tail"))
+
+
 @query("""WITH r AS (SELECT l_returnflag AS list_id, l_orderkey, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) AS at FROM lineitem)
 SELECT list_id, count(*) AS n, count(DISTINCT l_orderkey) AS groups_, 0 AS cut_groups FROM r GROUP BY ALL""")
 def so04_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,22 +362,44 @@ _CSP = """'csp:{"domains":[],"url":"' || replace(replace(url_js, '\\', '\\\\'),
 
 
 @query(f"""WITH e AS (SELECT list_id, line_no, k, host, {_quoted(fixed.JS_ANCHOR)} || replace(host, '.', '\\.') || {_quoted(fixed.JS_SEPARATOR)} AS url_js FROM ({DUCK}) l WHERE k IN (8, 10))
-SELECT list_id, sha256(string_agg(CASE k WHEN 8 THEN {_PROCEDURAL} ELSE {_CSP} END, chr(10) ORDER BY line_no)) AS digest FROM e GROUP BY list_id""")
+SELECT list_id, sha256(string_agg(digest, '' ORDER BY b)) AS digest FROM (SELECT list_id, b, sha256(string_agg(j || chr(10), '' ORDER BY line_no)) AS digest FROM
+ (SELECT list_id, line_no, CASE k WHEN 8 THEN {_PROCEDURAL} ELSE {_CSP} END AS j, (row_number() OVER (PARTITION BY list_id ORDER BY line_no) - 1) // 65536 AS b FROM e) x GROUP BY list_id, b) y GROUP BY list_id""")
 def snk03_side_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.annex_digest(_compiled(spark, sf_dir).annex)
 
 
-@query(f"""WITH {_RULES} SELECT list_id, bucket, k1, '{{"trigger":{{"url-filter":"' || replace(url_filter, '\\', '\\\\') || '"}},"action":{{"type":"css-display-none","selector":"' || selector || '"}}}}' AS json FROM rules WHERE bucket IN (0, 7)""")
+_JS = "replace(url_filter, '\\', '\\\\')"
+_MORE = f"""CASE WHEN bucket = 3 THEN ',"resource-type":["document"],"load-context":["top-frame"]' WHEN bucket = 1 THEN ',"if-top-url":["' || replace({SITE.replace('host', 'extra')}, '\\', '\\\\') || '"]'
+ WHEN k = 1 THEN ',"resource-type":["script"],"load-type":["third-party"]' WHEN k = 6 THEN ',"resource-type":["image"],"if-domain":["*site' || extra || '.org"]' WHEN k = 9 THEN ',"resource-type":["script"]' ELSE '' END"""
+
+
+@query(f"""WITH {_RULES}, r AS (SELECT list_id, bucket, k1, k, uf AS url_filter, extra, CASE WHEN bucket = 2 THEN 'block' ELSE 'ignore-previous-rules' END AS action, NULL AS selector FROM once
+  UNION ALL SELECT list_id, bucket, k1, -1, url_filter, '', action, selector FROM rules WHERE bucket IN (0, 3, 7))
+SELECT list_id, bucket, k1, '{{"trigger":{{"url-filter":"' || {_JS} || '"' || {_MORE} || '}},"action":{{"type":"' || action || '"' || coalesce(',"selector":"' || selector || '"', '') || '}}}}' AS json FROM r""")
 def snk01_rule_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = _compiled(spark, sf_dir).rules.filter(F.col("bucket").isin(0, 7))
-    return rules.select("list_id", "bucket", "k1", output.rule_json().alias("json"))
+    return _compiled(spark, sf_dir).rules.select("list_id", "bucket", "k1", output.rule_json().alias("json"))
 
 
-@query(f"WITH {_REPORT} SELECT count(*) FILTER (WHERE published) AS lists_published, CAST(sum(rules_out) AS BIGINT) AS rules_out FROM rep", "snk05_catalogue")
+@query(f"WITH {_RULES} SELECT DISTINCT list_id, url_filter FROM rules WHERE action = 'block'")
+def ag09_block_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.block_filters(_compiled(spark, sf_dir).rules)
+
+
+@query(f"""WITH {_RULES}, f AS (SELECT DISTINCT list_id, url_filter FROM rules WHERE action = 'block'), s AS (SELECT list_id, count(*) AS size FROM f GROUP BY list_id)
+SELECT x.list_id AS a, y.list_id AS b, count(*) AS shared, any_value(size) AS size, CAST(round_even(100.0 * count(*) / any_value(size), 0) AS INTEGER) AS pct
+FROM f x JOIN f y USING (url_filter) JOIN s ON s.list_id = x.list_id WHERE x.list_id <> y.list_id GROUP BY ALL""")
+def jn06_compiled_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.pairs(overlap.block_filters(_compiled(spark, sf_dir).rules))
+
+
+@query(f"""WITH {_REPORT}, c AS (SELECT *, CAST({_COVER} AS DOUBLE) AS coverage FROM rep LEFT JOIN conv USING (list_id))
+SELECT list_id, published, rules_in, rules_out, coverage AS coverage_pct, (SELECT count(*) FROM rep WHERE published) AS lists_published, (SELECT CAST(sum(rules_out) AS BIGINT) FROM rep) AS all_out, (SELECT count(*) FROM rep) AS lists_total FROM c""", "snk05_catalogue")
 def snk05_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = output.catalogue_json(output.report(_compiled(spark, sf_dir), Profile(min_yield=0.5)))
-    read = F.from_json("json", "totals struct<lists_published: bigint, rules_out: bigint>")
-    return made.select(read.alias("j")).select("j.totals.*")
+    one = "array<struct<list_id: string, rules_in: bigint, rules_out: bigint, coverage_pct: double>>"
+    read = made.select(F.from_json("json", f"totals struct<lists_published: bigint, rules_out: bigint>, lists_total bigint, lists {one}, unpublished {one}").alias("j")).select("j.*")
+    of = lambda name, shown: read.select(F.explode(name).alias("l"), F.lit(shown).alias("published"), F.col("totals.lists_published").alias("lists_published"), F.col("totals.rules_out").alias("all_out"), "lists_total")
+    return of("lists", True).unionByName(of("unpublished", False)).select("l.*", "published", "lists_published", "all_out", "lists_total")
 
 
 # ----------------------------------------------------------- overlap, evaluation
@@ -394,7 +436,7 @@ m AS (SELECT q.page_id, b.list_id FROM q JOIN (SELECT DISTINCT list_id, b2.host
 SELECT page_id AS req_id, count(list_id) > 0 AS blocked, min(list_id) AS by FROM q LEFT JOIN m USING (page_id) GROUP BY page_id""")
 def ev01_decide(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = cp.assemble(_compiled(spark, sf_dir).rules)
-    return evaluate.decide(syn.requests(spark, sf_dir), rules.filter(F.col("bucket").isin(BUCKET["block"], BUCKET["exception"])))
+    return evaluate.decide(syn.requests(spark, sf_dir), rules)
 
 
 @query(f"""WITH {_RULES} SELECT p.page_id AS req_id, c.list_id, count(*) AS n FROM ({syn.PAGES}) p JOIN (SELECT DISTINCT list_id, host AS site FROM cos) c ON p.host = c.site OR p.host LIKE '%.' || c.site GROUP BY ALL""")
@@ -427,6 +469,15 @@ def f02_file_validator(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------------- sources
 
 
+@query("""WITH l AS (SELECT o_orderpriority AS list_id, o_custkey % 10 AS h, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS n FROM orders)
+SELECT list_id, avg(CASE WHEN h < 6 OR n > 300 THEN 1 ELSE 0 END) FILTER (WHERE n <= 300) >= 0.6 AS hosts FROM l GROUP BY list_id""")
+def w03_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of thousands of lines, of which the first 300 tell the dialect; comments are no lines."""
+    rows = syn.sql(spark, sf_dir, "SELECT * FROM orders").select(F.col("o_orderpriority").alias("list_id"), (F.col("o_orderkey") * 2).alias("line_no"), F.when(F.col("o_custkey") % 10 < 6, F.concat(F.lit("0.0.0.0 h"), "o_custkey", F.lit(".net"))).otherwise(F.concat(F.lit("||h"), "o_custkey", F.lit("^"))).alias("raw"))
+    notes = rows.select("list_id", (F.col("line_no") + 1).alias("line_no"), F.lit("# a note").alias("raw"))
+    return cp.detect_hosts(rows.unionByName(notes))
+
+
 @query("SELECT page_id, rtrim(regexp_replace(split_part(lower(url), '?', 1), '^https?://', ''), '/') AS url_key FROM pages")
 def src03_url_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syn.sql(spark, sf_dir, "SELECT * FROM pages").select("page_id", c.url_key(F.col("url")).alias("url_key"))
@@ -469,7 +520,9 @@ def src08_includes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DIGEST = """d AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
-g AS (SELECT doc_id, count(*) AS rules, sha256(string_agg(trim(s) || chr(10), '' ORDER BY n)) AS digest FROM d WHERE NOT regexp_matches(trim(s), '^$|^[!#\\[]') GROUP BY doc_id)"""
+w AS (SELECT doc_id, s, n, (row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1) // 65536 AS b FROM d WHERE NOT regexp_matches(trim(s), '^$|^[!#\\[]')),
+v AS (SELECT doc_id, b, count(*) AS rules, sha256(string_agg(trim(s) || chr(10), '' ORDER BY n)) AS digest FROM w GROUP BY doc_id, b),
+g AS (SELECT doc_id, CAST(sum(rules) AS BIGINT) AS rules, sha256(string_agg(digest, '' ORDER BY b)) AS digest FROM v GROUP BY doc_id)"""
 
 
 @query(f"WITH {_DIGEST} SELECT doc_id AS list_id, rules, digest FROM g")
@@ -510,9 +563,9 @@ def src02_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.unfold(_catalogue(spark, sf_dir)).select("pos", "id", "url", "group", "file", F.col("expires").cast("int").alias("expires"))
 
 
-@query(f"WITH {_CATALOGUE} SELECT id FROM v WHERE lower(r_name) IN ('asia', 'europe') AND contains(lower(id || ' ' || n_name), 'an')")
+@query(f"WITH {_CATALOGUE} SELECT id FROM v WHERE lower(r_name) IN ('asia', 'europe') AND contains(lower(id || ' ' || n_name), '1')")
 def src04_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cat.select_lists(cat.unfold(_catalogue(spark, sf_dir)), ["ASIA", "europe"], ["an"]).select("id")
+    return cat.select_lists(cat.unfold(_catalogue(spark, sf_dir)), ["ASIA", "europe"], ["1", "none"]).select("id")
 
 
 _STATE = """s AS (SELECT c_custkey, c_custkey % 5 AS k, c_custkey % 3 AS a FROM customer),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sievecraft.functions import columns as c
+from sievecraft.sources.lists import content_digest, headers, split_lines
 
 LIST_DDL = "struct<id: string, name: string, url: string, file: string, ubo: string, homepage: string, languages: array<string>, tags: array<string>, note: string, format: string, expires: bigint, enabled: boolean, covered_by: array<struct<id: string, name: string, pct: int>>>"
 GROUP_DDL = f"struct<id: string, maintainer: string, homepage: string, base: string, enabled: boolean, lists: array<{LIST_DDL}>>"
@@ -115,6 +116,48 @@ def refresh_state(plan: DataFrame, fetched: DataFrame, now: str, least: int = 32
     )
 
 
+#: Names under which lists give their version and date.
+_TITLE, _VERSION, _UPDATED = ("title",), ("version",), ("timeupdated", "time_updated", "last_modified")
+
+
+def index_entries(rows: DataFrame, state: DataFrame, refreshed: DataFrame, fetched: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id and the fields of STATE_DDL) of all lists after a refresh; what did not change keeps its state.
+
+    ``rows``: the catalogue (id, name, file, pos); ``refreshed``: what ``refresh_state`` gives; ``fetched``: etag, last_modified, error
+    by id; ``texts``: (list_id, content, includes, preproc_dropped) of the lists that were updated.
+    """
+    lines = split_lines(texts.select("list_id", "content"))
+    said = headers(lines).groupBy("list_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("said"))
+    value = lambda names: F.coalesce(*[F.col("said")[n] for n in names])
+    numbers = lines.groupBy("list_id").agg(F.count("*").alias("lines")).join(content_digest(lines), "list_id", "left").join(said, "list_id", "left").join(texts.select("list_id", "includes", "preproc_dropped"), "list_id")
+    new = numbers.select(
+        F.col("list_id").alias("id"), "lines", F.coalesce("rules", F.lit(0)).alias("rules"), F.col("digest").alias("rules_sha256"), value(_TITLE).alias("title"), value(_VERSION).alias("version"),
+        value(_UPDATED).alias("list_updated"), F.col("said")["license"].alias("license"), F.col("includes").cast("int").alias("includes"), F.col("preproc_dropped").cast("int").alias("preproc_dropped"),
+    )
+    old = state.select("id", *[F.col(c).alias(f"old_{c}") for c in state.columns if c != "id"])
+    joined = rows.select("id", "name", "file", "pos").join(old, "id", "left").join(refreshed, "id").join(new, "id", "left").join(fetched.select("id", "etag", F.col("last_modified").alias("modified"), "error"), "id", "left")
+    taken = F.col("status") == "updated"
+    either = lambda c: F.when(taken, F.col(c)).otherwise(F.col(f"old_{c}")).alias(c)
+    out = joined.select(
+        "id", "pos", "file", "name", either("etag"), F.when(taken, F.col("modified")).otherwise(F.col("old_last_modified")).alias("last_modified"), "sha256", either("bytes"), either("lines"), either("rules"), either("rules_sha256"),
+        F.when(taken, F.coalesce("title", "name")).otherwise(F.col("old_title")).alias("title"), either("version"), either("list_updated"), either("license"), "fetched_at", either("includes"), either("preproc_dropped"), "status",
+        F.when(F.col("status") == "failed", F.coalesce("error", F.lit("empty or cut short"))).alias("error"),
+    )
+    # The first list, in the catalogue's order, of some content counts; failed ones neither count nor repeat.
+    same = out.filter("rules_sha256 IS NOT NULL AND status <> 'failed'").groupBy("rules_sha256").agg(F.min_by("id", "pos").alias("first"))
+    again = F.when((F.col("first") != F.col("id")) & (F.col("status") != "failed"), F.col("first")).alias("duplicate_of")
+    return out.join(same, "rules_sha256", "left").select(*out.columns, again)
+
+
+def index_json(entries: DataFrame, now: str) -> str:
+    """The index that ``read_state`` reads, lists in the catalogue's order; as long as there are lists."""
+    lists = {r["id"]: {k: v for k, v in r.asDict().items() if v is not None and k != "pos"} for r in entries.orderBy("pos").collect()}
+    summary: dict[str, int] = {}
+    for entry in lists.values():
+        summary[entry["status"]] = summary.get(entry["status"], 0) + 1
+    return json.dumps({"generated_at": now, "count": len(lists), "summary": summary, "lists": lists}, indent=1, ensure_ascii=False) + "\n"
+
+
 def status_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("status").agg(F.count("*").alias("n"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 
 from sievecraft.functions import columns as c
 from sievecraft.functions import grammar as g
+from sievecraft.functions.ranks import carried, digest
 
 #: Everything that ends a line in Python's text model.
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
@@ -66,13 +67,13 @@ def preprocess(lines: DataFrame) -> DataFrame:
             out.append(all(stack))
         return pdf.assign(live=out)[["list_id", "line_no", "live"]]
 
+    # Only a list's directives meet in one task; what they say is carried to the lines block by block.
     states = rows.groupBy("list_id").applyInPandas(fold, f"list_id {lines.schema['list_id'].dataType.simpleString()}, line_no long, live boolean")
-    joined = lines.join(states, ["list_id", "line_no"], "left").withColumn("directive", F.col("live").isNotNull())
-    now = F.last("live", ignorenulls=True).over(W.partitionBy("list_id").orderBy("line_no"))
-    joined = joined.withColumn("live", F.coalesce(now, F.lit(True)))
+    joined = carried(lines, states, "list_id", "line_no", "live").withColumns({"directive": F.col("_marked").isNotNull(), "live": F.coalesce("live", F.lit(True))}).drop("_marked")
     rule = ~F.col("live") & ~F.col("directive") & ~F.col("raw").rlike(r"^\s*(!|$)")
-    joined = joined.withColumn("dropped", F.count_if(rule).over(W.partitionBy("list_id")))
-    return joined.filter("live AND NOT directive").select("list_id", "line_no", "raw", "dropped")
+    dropped = joined.filter(rule).groupBy("list_id").agg(F.count("*").alias("dropped"))
+    kept = joined.filter("live AND NOT directive").join(dropped, "list_id", "left")
+    return kept.select("list_id", "line_no", "raw", F.coalesce("dropped", F.lit(0).cast("long")).alias("dropped"))
 
 
 INCLUDE = r"^!#include\s+(\S+)"
@@ -117,10 +118,9 @@ def resolve_includes(lines: DataFrame, urls: DataFrame, library: DataFrame, dept
 
 
 def content_digest(lines: DataFrame) -> DataFrame:
-    """(list_id, rules, digest): number and digest of a list's lines that are neither empty nor comments, in order."""
+    """(list_id, rules, digest): number and digest (of blocks of lines) of a list's lines that are neither empty nor comments, in order."""
     rows = lines.select("list_id", "line_no", c.strip(F.col("raw")).alias("s")).filter(~F.col("s").rlike(r"^$|^[!#\[]"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "s"))), lambda x: F.concat(x["s"], F.lit("\n"))), "")
-    return rows.groupBy("list_id").agg(F.count("*").alias("rules"), F.sha2(text, 256).alias("digest"))
+    return digest(rows.withColumn("s", F.concat("s", F.lit("\n"))), "list_id", ["line_no"], "s").withColumnRenamed("n", "rules")
 
 
 def mark_duplicates(digests: DataFrame, order: DataFrame) -> DataFrame:

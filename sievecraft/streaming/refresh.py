@@ -26,9 +26,14 @@ def refresh(spark: SparkSession, folder: str, out: str, checkpoint: str, profile
 
     def batch(texts: DataFrame, number: int) -> None:
         latest = texts.groupBy("list_id").agg(F.max_by("content", "modified").alias("content"))
-        reports = report(compile_lists(split_lines(latest), profile), profile)
-        reports.write.mode("overwrite").parquet(f"{out}/batch={number}")
-        if done is not None:
-            done(reports)
+        made = compile_lists(split_lines(latest), profile)
+        reports = report(made, profile).persist()
+        try:
+            reports.write.mode("overwrite").parquet(f"{out}/batch={number}")
+            if done is not None:
+                done(reports)
+        finally:
+            reports.unpersist()
+            made.release()
 
     return list_stream(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
