@@ -158,5 +158,16 @@ SELECT b.conv_id, b.turn, b.role, b.body, CAST(b.max_level AS BIGINT) AS max_lev
 FROM b LEFT JOIN q ON b.r = q.r LEFT JOIN n ON b.conv_id = n.conv_id AND b.turn = n.turn LEFT JOIN a ON b.conv_id = a.conv_id AND b.turn = a.turn LEFT JOIN t ON b.conv_id = t.conv_id AND b.turn = t.turn
 """
 
-QUERIES = {"op1_chat_threads": op1_chat_threads}
-ORACLES = {"op1_chat_threads": SQL}
+#: The table's messages, every second one with the message before it as a quote; the same text is SQL for both engines.
+QUOTED = """SELECT c.conv_id, c.turn, c.role, CASE WHEN p.text IS NULL THEN c.text ELSE concat('> ', replace(p.text, chr(10), concat(chr(10), '> ')), chr(10), c.text) END AS text
+FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1 AND c.turn % 2 = 1"""
+
+
+def chat_quoted_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator on messages that quote, as the given ones hold no quotes."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversations(spark.sql(QUOTED.replace("conversations", "{conversations}"), conversations=rows))
+
+
+QUERIES = {"op1_chat_threads": op1_chat_threads, "chat_quoted_threads": chat_quoted_threads}
+ORACLES = {"op1_chat_threads": SQL, "chat_quoted_threads": SQL.replace("AS text FROM conversations)", f"AS text FROM ({QUOTED}) z)")}

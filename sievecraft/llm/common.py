@@ -62,7 +62,7 @@ def row_key(id_col: str, text_col: str) -> dict[str, Column]:
     return {"k1": F.xxhash64(id_col, F.lit(1)), "k2": F.xxhash64(text_col, F.lit(2), id_col)}
 
 
-#: Rows of a batch between the engine and Python: whole texts make batches of thousands of rows large.
+#: Rows of a batch between the engine and Python, below the bytes that the engine itself allows one (64 MB unless set otherwise).
 BATCH_ROWS = 1500
 
 

@@ -15,10 +15,10 @@ for its rows.  The shards' answers, at most k + 1 a query and shard, are then me
 Queries are sent to the shards in blocks of at most ``QUERY_BLOCK`` distinct codes,
 one pass over the shards per block, so what is broadcast has a fixed bound.
 
-Defined cases: a null vector is neither indexed nor asked; null and NaN
-components give 0 bits, shorter vectors are padded with 0 bits; a row is not its
-own neighbour, but another row of the same id is; ties go by id, null ids last;
-an empty table gives an empty result.
+Defined cases: a row with a null vector or a null id, which no answer could name, is neither indexed nor asked; null
+and NaN components give 0 bits, shorter vectors are padded with 0 bits; a row is not its
+own neighbour, but another row of the same id is; ties go by id; other columns are not
+read; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -33,10 +33,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from sievecraft.llm.common import no_clash, releasing, small_batches, table
 
 FIT_DOCS = 2000
+#: Bytes of text of each class that are fitted on at most.
+FIT_BYTES = 32 << 20
+#: Segments without any known feature weigh so many times all others at most, so that the few toxic ones tell.
+PLAIN_WEIGHT = 20
 THRESHOLD = 0.3
 SEGMENT = 48
 #: Standard errors between a feature's shares of toxic and clean documents, from which it counts.
@@ -189,7 +194,7 @@ def fit(texts: list[bytes], toxic: list[int], rounds: int = 80, rate: float = 0.
     tag = np.zeros((seg, SEGMENT), np.int64)
     tag.ravel()[np.array(tags, np.int64)] = 1
     weight = np.ones(seg)
-    weight[-1] = max(1, min(plain, 20 * seg))
+    weight[-1] = max(1, min(plain, PLAIN_WEIGHT * seg))
     w, start, step, bias = np.zeros(len(index)), np.zeros(2), np.zeros((2, 2)), -2.0
     total = weight.sum()
     momentum = None
@@ -235,14 +240,21 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Field | None:
-    """From labelled rows whose fold of 4 is not 2: at most ``fit_docs`` of each class, by a hash of the id."""
-    known = no_clash(labels, "doc_id", "toxic").filter(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), 4) != 2)).dropDuplicates(["doc_id"])
+def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, fit_bytes: int = FIT_BYTES) -> Field | None:
+    """From labelled rows whose fold of 4 is not 2: at most ``fit_docs`` of each class and ``fit_bytes`` of text of each, in the order of a hash of the id.
+
+    An id that names several texts is taken with the one of the smallest hash.
+    """
+    known = no_clash(labels, "doc_id", "toxic").filter(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), 4) != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = None
     for y in (0, 1):
         own = known.filter((F.col("toxic") > 0) == bool(y)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
         picked = own if picked is None else picked.unionByName(own)
-    rows = no_clash(docs, "doc_id", "text").join(picked, "doc_id").select("text", "toxic", F.xxhash64("doc_id").alias("o")).collect()
+    rows = no_clash(docs, "doc_id", "text").join(picked, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = rows.withColumn("o", F.xxhash64("doc_id"))
+    # At most 2 * fit_docs rows meet here.
+    sofar = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(W.partitionBy("toxic").orderBy("o", "doc_id"))
+    rows = rows.withColumn("sofar", sofar).filter(F.col("sofar") <= fit_bytes).select("text", "toxic", "o").collect()
     rows.sort(key=lambda r: (r.o, r.text or ""))
     return fit([(r.text or "").encode() for r in rows], [int(r.toxic > 0) for r in rows])
 

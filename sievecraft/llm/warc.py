@@ -78,7 +78,8 @@ def plan_records(pages: DataFrame, least: int = 0) -> DataFrame:
 
 
 def _record() -> Column:
-    date = F.date_format(F.timestamp_seconds(F.lit(1_577_836_800) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(1 << 31))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    instant = F.timestamp_seconds(F.lit(1_577_836_800) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(1 << 31)))
+    date = F.date_format(F.to_utc_timestamp(instant, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")  # dates are in UTC, whatever the session's zone
     revisit = F.col("record_type") == "revisit"
     block = F.when(revisit, F.lit("")).otherwise(F.col("html"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))

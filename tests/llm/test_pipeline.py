@@ -88,3 +88,32 @@ def test_passages_of_51_words_are_cut(spark):
     got = {r.doc_id: r.text for r in cp.cut_repeated_passages(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
     assert len(passage.encode()) < 400
     assert [got[i] for i in range(4)] == [texts[i].replace(passage, "") if i < 2 else texts[i] for i in range(4)]
+
+
+def test_odd_documents(spark, tmp_path):
+    rng = random.Random(21)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(n))
+    copied, long = text(70), text(30_000)
+    docs = [(1, copied), (2, copied), (3, text(80)), (3, text(80)), (None, text(60)), (None, copied), (4, None), (5, ""), (6, long), (7, long + " end"), (8, text(90)), (8, text(5))]
+    repeated = (9, text(75))
+    rows = [(i, t, "en", None if i == 3 else "s", len(t or ""), i, True) for i, t in [*docs, repeated, repeated]]
+    schema = f"{SCHEMA}, k1 long, maybe boolean"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    state, after = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    for k, (_, stage) in enumerate(cp.STAGES):
+        stage(spark, state, str(tmp_path)).write.parquet(str(tmp_path / f"out{k}"))
+        state = spark.read.parquet(str(tmp_path / f"out{k}"))
+        after.append(state.collect())
+    assert len(after[0]) == len(rows)  # no labels: nothing is rejected
+    kept = sorted((r.doc_id or 0, r.text or "") for r in after[1])
+    assert kept == sorted([(1, copied), *[(3, t) for i, t in docs if i == 3], (0, docs[4][1]), (4, ""), (6, long), *[(8, t) for i, t in docs if i == 8], repeated])
+    assert sorted((r.doc_id or 0, r.text or "") for r in after[3]) == kept
+    assert {r.doc_id for r in after[4]} <= {None, 1, 3, 6, 8, 9}
+    empty = spark.read.parquet(str(tmp_path / "documents.parquet")).limit(0)
+    for k, (_, stage) in enumerate(cp.STAGES):
+        empty = stage(spark, empty, str(tmp_path))
+        empty.write.parquet(str(tmp_path / f"none{k}"))
+        empty = spark.read.parquet(str(tmp_path / f"none{k}"))
+        assert empty.count() == 0
