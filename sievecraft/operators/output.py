@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
-from bisect import bisect_left
+from collections.abc import Iterator
 from datetime import UTC, datetime
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -18,45 +19,109 @@ from sievecraft.profile import BUCKET, BUCKETS, TAIL, Profile
 
 # ---------------------------------------------------------------------- chunking
 
+#: Places of a list's body that share one row of the files that begin or go on there, as a power of two.
+PLACE_BITS = 8
 
-def chunk_cuts(groups: DataFrame, sizes: DataFrame, max_rules: int) -> DataFrame:
-    """(list_id, cuts): the body positions before which a new file starts.
 
-    ``groups`` has the atomic ranges (list_id, start, n) and ``sizes`` (list_id, body,
-    tail), one row a list; a cut that falls inside a range moves to its start.  Only the
-    ranges of a list meet in one task, never its rules.
+def least_room(max_rules: int) -> int:
+    """Rules that a file must have left beside the exceptions."""
+    return max(1, min(1000, max_rules // 2))
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(list_id, chunk, start, stop) of the files of each list, from its atomic ranges in their order.
+
+    Rows are (list_id, body, room, start, n), sorted by list and start.  A task holds a batch and the last range before it,
+    so neither the ranges of a list nor its files meet in memory.
     """
-    wide = sizes.filter(F.col("body") + F.col("tail") > max_rules)
-    rows = wide.join(groups, "list_id", "left").select("list_id", "body", "tail", F.coalesce("start", F.lit(-1).cast("long")).alias("start"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        body, room = int(pdf.body.iloc[0]), max_rules - int(pdf.tail_.iloc[0])
-        if room < min(1000, max_rules // 2):
-            raise ValueError(f"exceptions leave room for {room} rules a file")
-        ranges = sorted(zip(pdf.start.tolist(), pdf.n.tolist(), strict=True))
-        starts, at, cuts = [s for s, _ in ranges], 0, []
+    now, body, room, at, chunk, last = None, 0, 0, 0, 1, (-1, 0)
+    schema, done = None, []
+
+    def file(stop: int) -> None:
+        nonlocal at, chunk
+        done.append((now, chunk, at, stop))
+        at, chunk = stop, chunk + 1
+
+    def cut(start: int, n: int) -> None:
+        end = at + room
+        file(max(start, at + 1) if start < end < start + n else end)
+
+    def finish() -> Iterator[pa.RecordBatch]:
         while at + room < body:
-            end = at + room
-            start, n = ranges[max(0, bisect_left(starts, end) - 1)]  # ranges do not overlap: the last to start before a cut is the one it may hit
-            at = max(start, at + 1) if start < end < start + n else end
-            cuts.append(at)
-        return pd.DataFrame({"list_id": [pdf.list_id.iloc[0]], "cuts": [cuts]})
+            cut(*last)
+            if len(done) >= 10_000:
+                yield written()
+        file(body)
+
+    def written() -> pa.RecordBatch:
+        rows = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
+        done.clear()
+        return rows
+
+    for b in batches:
+        lists, bodies, rooms, starts, sizes = b.columns
+        schema = pa.schema([("list_id", lists.type), ("chunk", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())])
+        starts, sizes, code = starts.to_numpy(), sizes.to_numpy(), lists.dictionary_encode().indices.to_numpy()
+        heads = np.flatnonzero(np.diff(code, prepend=-1)).tolist()
+        for a, z in zip(heads, [*heads[1:], len(code)], strict=True):
+            if now is None or lists[a].as_py() != now:
+                if now is not None:
+                    yield from finish()
+                now, body, room, at, chunk, last = lists[a].as_py(), bodies[a].as_py(), rooms[a].as_py(), 0, 1, (-1, 0)
+            own = starts[a:z]
+            while at + room < body and at + room <= own[-1]:  # ranges do not overlap: the last to start before a cut is the one it may hit
+                i = int(np.searchsorted(own, at + room)) - 1
+                cut(*((int(own[i]), int(sizes[a + i])) if i >= 0 else last))
+                if len(done) >= 10_000:
+                    yield written()
+            last = int(own[-1]), int(sizes[z - 1])
+        if done:
+            yield written()
+    if now is not None:
+        yield from finish()
+        yield written()
+
+
+def uncut(total: Column, tail: Column, max_rules: int, least: int | None = None) -> Column:
+    """Whether a list of ``total`` rules has so many exceptions (``tail``) that it can't be cut into files."""
+    return (total > max_rules) & (F.lit(max_rules) - tail < (least_room(max_rules) if least is None else max(1, least)))
+
+
+def chunk_cuts(groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(list_id, chunk, start, stop): the files of each list and the body positions in each.
+
+    ``groups`` has the atomic ranges (list_id, start, n) and ``sizes`` (list_id, body, room), one row a
+    list that is to be cut; a cut that falls inside a range moves to its start.  Ranges of one rule are never cut, so they are left out.
+    """
+    ranges = groups.filter("n > 1").join(F.broadcast(sizes), "list_id").select("list_id", "body", "room", "start", "n")
+    heads = sizes.select("list_id", "body", "room", F.lit(-1).cast("long").alias("start"), F.lit(0).cast("long").alias("n"))
+    rows = heads.unionByName(ranges).repartition("list_id").sortWithinPartitions("list_id", "start")
+    return rows.mapInArrow(_cut, f"list_id {rows.schema['list_id'].dataType.simpleString()}, chunk int, start long, stop long")
 
-    return rows.withColumnRenamed("tail", "tail_").groupBy("list_id").applyInPandas(cut, f"list_id {rows.schema['list_id'].dataType.simpleString()}, cuts array<long>")
 
+def chunks(rules: DataFrame, max_rules: int, least: int | None = None) -> DataFrame:
+    """Adds ``chunk`` (from 1); the exceptions at the end stand in every chunk.
 
-def chunks(rules: DataFrame, max_rules: int) -> DataFrame:
-    """Adds ``chunk`` (from 1) and ``place`` within it; the exceptions at the end stand in every chunk."""
-    placed = assemble(rules).withColumn("at", F.col("position") - 1)
+    A list whose exceptions leave room for fewer than ``least`` rules a file can't be cut: its rules have no chunk (null), other lists are cut.
+    """
     tail = F.col("bucket") >= TAIL
-    sizes = placed.groupBy("list_id").agg(F.count_if(~tail).alias("body"), F.count_if(tail).alias("tail"))
-    head = placed.filter(F.col("bucket") <= BUCKET["generichide"]).groupBy("list_id").agg(F.lit(0).cast("long").alias("start"), F.count("*").alias("n"))
+    sizes = rules.groupBy("list_id").agg(F.count("*").alias("total"), F.count_if(tail).alias("tail"))
+    sizes = sizes.withColumns({"body": F.col("total") - F.col("tail"), "room": F.lit(max_rules) - F.col("tail"), "uncut": uncut(F.col("total"), F.col("tail"), max_rules, least)})
+    placed = assemble(rules).withColumn("at", F.col("position") - 1)
+    head = rules.filter(F.col("bucket") <= BUCKET["generichide"]).groupBy("list_id").agg(F.lit(0).cast("long").alias("start"), F.count("*").alias("n"))
     groups = placed.filter("atomic").groupBy("list_id", "k1").agg(F.min("at").alias("start"), F.count("*").alias("n")).drop("k1").unionByName(head)
-    cuts = chunk_cuts(groups, sizes, max_rules)
-    joined = placed.join(cuts, "list_id", "left").withColumn("cuts", F.coalesce("cuts", F.array().cast("array<long>")))
-    last = F.size("cuts") + 1
-    own = F.size(F.filter("cuts", lambda x: x <= F.col("at"))) + 1
-    return joined.withColumn("chunk", F.explode(F.when(tail, F.sequence(F.lit(1), last)).otherwise(F.array(own)))).drop("cuts", "at")
+    cuts = chunk_cuts(groups, sizes.filter((F.col("total") > max_rules) & ~F.col("uncut")).select("list_id", "body", "room"))
+    files = sizes.join(cuts.groupBy("list_id").agg(F.max("chunk").alias("_files")), "list_id", "left")
+    files = files.select("list_id", F.when(~F.col("uncut"), F.coalesce("_files", F.lit(1))).alias("_files"))
+    blocks = cuts.filter("stop > start").select("list_id", F.explode(F.sequence(F.shiftright("start", PLACE_BITS), F.shiftright(F.col("stop") - 1, PLACE_BITS))).alias("_block"), F.struct("start", "chunk").alias("_begin"))
+    blocks = blocks.groupBy("list_id", "_block").agg(F.collect_list("_begin").alias("_begins"))
+    rows = placed.join(F.broadcast(files), "list_id")  # a row a list
+    body = rows.filter(~tail).withColumn("_block", F.shiftright("at", PLACE_BITS)).join(blocks, ["list_id", "_block"], "left")
+    begun = F.filter("_begins", lambda x: x["start"] <= F.col("at"))
+    own = F.when(F.col("_files") == 1, 1).when(F.col("_files") > 1, F.array_max(F.transform(begun, lambda x: x["chunk"])))
+    body = body.withColumn("chunk", own).drop("_block", "_begins")
+    every = F.when(F.col("_files").isNull(), F.array(F.lit(None).cast("int"))).otherwise(F.sequence(F.lit(1), F.col("_files")))
+    return body.unionByName(rows.filter(tail).withColumn("chunk", F.explode(every))).drop("at", "_files")
 
 
 # ----------------------------------------------------------------------- reports
@@ -255,7 +320,11 @@ def write_named(rows: DataFrame, folder: str) -> list[dict]:
 
 
 def write_rules(chunked: DataFrame, folder: str) -> list[dict]:
-    """One file per list and chunk, each a JSON array with a rule a line; (file, list_id, rules, bytes) of each, a row a file."""
+    """One file per list and chunk, each a JSON array with a rule a line; (file, list_id, rules, bytes) of each, a row a file.
+
+    Rules without a chunk are in no file.
+    """
+    chunked = chunked.filter("chunk IS NOT NULL")
     many = chunked.groupBy("list_id").agg((F.max("chunk") > 1).alias("many"))
     sizes = chunked.groupBy("list_id", "chunk").agg(F.count("*").alias("rules"), F.min("position").alias("_first"), F.max("position").alias("_last"))
     named = sizes.join(many, "list_id").withColumn("file", F.concat("list_id", F.when(F.col("many"), F.concat(F.lit("-"), "chunk")).otherwise(F.lit("")), F.lit(".json")))
