@@ -64,3 +64,8 @@ def many_files(spark, atomic):
 def test_many_files(spark):
     """What a row costs must not grow with the files of its list."""
     many_files(spark, False)
+
+
+def test_many_atomic_files(spark):
+    """The same where all rules stand in atomic ranges."""
+    many_files(spark, True)
