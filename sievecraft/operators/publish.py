@@ -41,7 +41,9 @@ def publish(spark: SparkSession, texts: DataFrame, out: str, profile: Profile |
     lines = split_lines(known.select("list_id", "content"))
     hosts = detect_hosts(lines).join(known.select("list_id", "format"), "list_id").select("list_id", (F.col("hosts") | F.coalesce(F.col("format") == "hosts", F.lit(False))).alias("hosts"))
     made = compile_lists(lines, profile, hosts)
-    reports = output.report(made, profile).join(known.drop("content"), "list_id").persist()
+    # Exceptions stand in every file; a list that they leave no room in is left out, the others are published.
+    reports = output.report(made, profile).withColumn("uncut", output.uncut(F.col("rules_out"), F.col("exception") + F.col("page_exception"), profile.max_rules))
+    reports = reports.withColumn("published", F.col("published") & ~F.col("uncut")).join(known.drop("content"), "list_id").persist()
     try:
         now = output.now_iso()
         files = output.write_rules(gated(output.chunks(made.rules, profile.max_rules), reports), out)
@@ -70,6 +72,7 @@ def catalogue(rows: list[dict], files: list[dict], side: list[dict], profile: Pr
     base = lambda r: {"id": r["list_id"], "name": r["name"] or r["list_id"], "source": f"{r['list_id']}.txt", "rules_in": r["rules_in"], "rules_unique": r["rules_out"]}
     shown, rest = [r for r in rows if r["published"]], [r for r in rows if not r["published"]]
     total = lambda x, k: sum(r[k] for r in x)
+    why = lambda r: f"{r['exception'] + r['page_exception']} exceptions leave too little room in files of {profile.max_rules} rules" if r["uncut"] else f"{r['rules_out']} rules from {r['rules_in']} entries"
     lists = [
         base(r) | {"source_sha256": r["sha256"] or "", "version": r["version"] or "", "group": r["group"] or "", "homepage": r["homepage"] or "", "license": r["license"] or "", "converted_at": now,
                    "rules_emitted": emitted[r["list_id"]], "skipped": r["skipped"], "coverage_pct": r["coverage_pct"], "capabilities": {k: r[k] for k in ("network", "cosmetic", "exceptions", "extended")}, "files": own[r["list_id"]],
@@ -79,5 +82,5 @@ def catalogue(rows: list[dict], files: list[dict], side: list[dict], profile: Pr
     return {
         "generated_at": now, "schema": 2, "profile": "legacy" if profile.legacy else f"Safari {profile.safari_version}+",
         "totals": {"lists": len(shown), "lists_unpublished": len(rest), "files": len(files), "rules_in": total(shown, "rules_in"), "rules_unique": total(shown, "rules_out"), "rules_emitted": sum(emitted.values()), "skipped": total(rows, "skipped"), "extended": total(rows, "extended")},
-        "lists": lists, "unpublished": [base(r) | {"reason": f"{r['rules_out']} rules from {r['rules_in']} entries"} for r in rest],
+        "lists": lists, "unpublished": [base(r) | {"reason": why(r)} for r in rest],
     }

@@ -1,12 +1,13 @@
 """Size-bounded files against a plain cut, lists that can't be cut, and lists of many files."""
 
+import json
 import random
 import time
 
 from pyspark.sql import functions as F
 
-from sievecraft.operators import output
-from sievecraft.profile import BUCKET
+from sievecraft.operators import output, publish
+from sievecraft.profile import BUCKET, Profile
 
 SCHEMA = "list_id string, bucket int, k1 long, k2 long, k3 long, atomic boolean"
 
@@ -54,6 +55,15 @@ def test_cuts_and_lists_without_room(spark):
         assert sorted(map(tuple, got), key=str) == plain(rows, 20, least or 10)
 
 
+def test_a_list_without_room_leaves_the_others(spark, tmp_path):
+    blocks = "".join(f"||h{i}.net^$script\n" for i in range(30))
+    texts = spark.createDataFrame([("good", blocks), ("odd", blocks + "".join(f"@@||ok{i}.net^\n" for i in range(25)))], "list_id string, content string")
+    publish.publish(spark, texts, str(tmp_path / "out"), Profile(max_rules=20))
+    index = json.loads((tmp_path / "out/index.json").read_text())
+    assert [x["id"] for x in index["lists"]] == ["good"] and [(x["id"], x["reason"].split(" leave")[0]) for x in index["unpublished"]] == [("odd", "25 exceptions")]
+    assert not list((tmp_path / "out").glob("odd*.json"))
+
+
 def many_files(spark, atomic):
     rows = spark.range(1_200_000).select(F.lit("l").alias("list_id"), F.lit(2).alias("bucket"), F.shiftright("id", 1).alias("k1"), (F.col("id") % 2).alias("k2"), F.lit(0).cast("long").alias("k3"), F.lit(atomic).alias("atomic"))
     began = time.monotonic()
