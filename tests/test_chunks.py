@@ -67,7 +67,7 @@ def test_a_list_without_room_leaves_the_others(spark, tmp_path):
 def many_files(spark, atomic):
     rows = spark.range(1_200_000).select(F.lit("l").alias("list_id"), F.lit(2).alias("bucket"), F.shiftright("id", 1).alias("k1"), (F.col("id") % 2).alias("k2"), F.lit(0).cast("long").alias("k3"), F.lit(atomic).alias("atomic"))
     began = time.monotonic()
-    got = output.chunks(rows, 21 if atomic else 20, 1).groupBy("chunk").agg(F.count("*").alias("n"), F.count_distinct("k1").alias("k")).groupBy("n", "k").count().collect()
+    got = output.chunks(rows, 21 if atomic else 20).groupBy("chunk").agg(F.count("*").alias("n"), F.count_distinct("k1").alias("k")).groupBy("n", "k").count().collect()
     assert [(r.n, r.k, r["count"]) for r in got] == [(20, 10, 60_000)] and time.monotonic() - began < 60
 
 
