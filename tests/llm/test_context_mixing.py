@@ -146,3 +146,34 @@ def test_spelled_probabilities_sum_to_one():
         p = 0.5 / (1 + np.exp(-z)) + 0.5 * speller._refined(z, d.node)[2]
         total += np.prod(np.where(d.bit == 1, p, 1 - p)[first])
     assert abs(total - 1) < 1e-3
+
+
+def test_known_tokens_are_told_by_bits_of_their_class():
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(60)]
+    docs = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(60)], k=rng.randint(1, 40))) for _ in range(60)]
+    t = cm.Tokens(list(range(60)), pa.array(docs))
+    ones = Counter(w for i, d in enumerate(docs) if not held(i) for w in low(d))
+    count = np.array([ones[w] for w in t.words])
+    masses = np.zeros(32, np.int64)
+    np.add.at(masses, cm.class_of(count[count > 0]), count[count > 0])
+    own = np.repeat(t.held == 0, t.size)
+    told = np.where(count[t.flat] - own > 0, cm.KNOWN, cm.SPELLED).astype(np.int8)
+    at, made, share = cm.classes(t, count, told, masses)
+    assert (at == np.flatnonzero(told == cm.KNOWN)).all() and len(made) == 5
+    kind = sum(y.astype(int) << (4 - j) for j, (_, _, y) in enumerate(made))
+    for i, k, s in zip(at, kind, share, strict=True):
+        left = ones - Counter([t.words[t.flat[i]]] if own[i] else [])  # as if this token had not been counted
+        alike = {w: n for w, n in left.items() if n > 0 and n.bit_length() - 1 == k}
+        assert math.isclose(10**s, alike[t.words[t.flat[i]]] / sum(alike.values()))
+    # the cells tell the bits before and the tokens before, and the probabilities of all classes add up to one
+    n = np.zeros((cm.ALL_CELLS - cm.N_CELLS, 2))
+    for _, cell, y in made:
+        np.add.at(n, (cell - cm.N_CELLS, y.astype(int)), 1)
+    p = 10 ** cm.mix_cells(n, classed=True)
+    wide, total = len(p) // 32, 0.0
+    for k in range(32):
+        path = [(1 << j | k >> (5 - j), k >> (4 - j) & 1) for j in range(5)]
+        total += math.prod(p[node * wide + 7, y] for node, y in path)
+    assert math.isclose(total, 1.0)
+    assert sum(np.log10(p[c - cm.N_CELLS, y.astype(int)]).sum() for _, c, y in made) > np.log10(masses[kind] / masses.sum()).sum()
