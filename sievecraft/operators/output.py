@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sievecraft.functions import annex as annex_fields
-from sievecraft.functions.ranks import digest
-from sievecraft.operators.compile import Compiled, assemble
+from sievecraft.functions.ranks import block, digest
+from sievecraft.operators.compile import Compiled
 from sievecraft.profile import BUCKET, BUCKETS, TAIL, Profile
 
 # ---------------------------------------------------------------------- chunking
 
-#: Places of a list's body that share one row of the files that begin or go on there, as a power of two.
-PLACE_BITS = 8
+#: Lines of a section that make a unit, and places of a line that share an array of the files that go on there, as powers of two.
+UNIT_BITS = PLACE_BITS = 8
+#: Files that may begin in a unit for its lines to be told by them; else each line has its own row.
+BEGUN = 3
+#: A section's number is that of its list, shifted by so many bits, plus its bucket.
+SECTION_BITS = 4
+#: Rules that a task counts by line at once.
+COUNTED = 1 << 21
 
 
 def least_room(max_rules: int) -> int:
@@ -28,58 +34,149 @@ def least_room(max_rules: int) -> int:
     return max(1, min(1000, max_rules // 2))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(list_id, chunk, start, stop) of the files of each list, from its atomic ranges in their order.
+def _blobs(values: np.ndarray, heads: np.ndarray) -> pa.Array:
+    """The bytes of ``values``, cut before each of ``heads``."""
+    offsets = (np.append(heads, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
+
+
+def _flat(blobs: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_blobs`` packed: all values, and where each blob begins and the last ends."""
+    ends, width = np.frombuffer(blobs.buffers()[1], np.int32, len(blobs) + 1, blobs.offset * 4).astype(np.int64), np.dtype(kind).itemsize
+    return np.frombuffer(blobs.buffers()[2], kind, int(ends[-1] - ends[0]) // width, int(ends[0])), (ends - ends[0]) // width
 
-    Rows are (list_id, body, room, start, n), sorted by list and start.  A task holds a batch and the last range before it,
-    so neither the ranges of a list nor its files meet in memory.
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_unit, _section, lines, sizes) of rules (k1, tag) in any order, ``tag`` being twice the section, plus one where the line's rules stand together:
+    the lines of a unit, a byte each, and their sizes, eight bytes each, times two, plus that one.  A unit may come more than once.
     """
-    now, body, room, at, chunk, last = None, 0, 0, 0, 1, (-1, 0)
-    schema, done = None, []
-
-    def file(stop: int) -> None:
-        nonlocal at, chunk
-        done.append((now, chunk, at, stop))
-        at, chunk = stop, chunk + 1
-
-    def cut(start: int, n: int) -> None:
-        end = at + room
-        file(max(start, at + 1) if start < end < start + n else end)
-
-    def finish() -> Iterator[pa.RecordBatch]:
-        while at + room < body:
-            cut(*last)
-            if len(done) >= 10_000:
-                yield written()
-        file(body)
-
-    def written() -> pa.RecordBatch:
-        rows = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
-        done.clear()
-        return rows
 
+    def packed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        k1, tag, values = rows.column("k1").to_numpy(), rows.column("tag").to_numpy().astype(np.int64), None
+        section = tag >> 1
+        lowest, least, span = int(section.min()), int(k1.min()), int(k1.max()) - int(k1.min()) + 1
+        if (int(section.max()) - lowest + 1) * span >= 1 << 61:
+            values, k1 = np.unique(k1, return_inverse=True)
+            least, span = 0, len(values)
+        rules = np.sort(((section - lowest) * span + (k1 - least)) * 2 + (tag & 1))
+        heads = np.flatnonzero(np.diff(rules >> 1, prepend=-1))
+        sizes = np.diff(np.append(heads, len(rules))) * 2 + (rules[np.append(heads[1:], len(rules)) - 1] & 1)
+        section, k1 = np.divmod(rules[heads] >> 1, span)
+        k1 = k1 + least if values is None else values[k1]
+        unit = k1 >> UNIT_BITS
+        begins = np.flatnonzero((np.diff(section, prepend=-1) != 0) | (np.diff(unit, prepend=unit[0]) != 0))
+        keys = [pa.array(unit[begins]), pa.array((section[begins] + lowest).astype(np.int32))]
+        done = pa.RecordBatch.from_arrays([*keys, _blobs((k1 & 255).astype(np.uint8), begins), _blobs(sizes, begins)], ["_unit", "_section", "lines", "sizes"])
+        yield from (done.slice(i, 10_000) for i in range(0, done.num_rows, 10_000))
+
+    held, n = [], 0
+    for b in batches:
+        held, n = [*held, b], n + b.num_rows
+        if n >= COUNTED:
+            yield from packed(pa.Table.from_batches(held))
+            held, n = [], 0
+    if n:
+        yield from packed(pa.Table.from_batches(held))
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each unit once, from rows of ``_counted`` sorted by unit and section.  A task holds a batch and the unit before it."""
+
+    def heads(rows: pa.RecordBatch) -> np.ndarray:
+        unit, section = rows.column("_unit").to_numpy(), rows.column("_section").to_numpy()
+        return np.flatnonzero((np.diff(unit, prepend=unit[0]) != 0) | (np.diff(section, prepend=-1) != 0))
+
+    def merged(rows: pa.RecordBatch, first: np.ndarray) -> pa.RecordBatch:
+        (lines, ends), (sizes, _) = _flat(rows.column("lines"), np.uint8), _flat(rows.column("sizes"), np.int64)
+        unit = np.repeat(np.arange(len(first)), np.diff(np.append(ends[first], ends[-1])))
+        line = unit << UNIT_BITS | lines
+        order = np.argsort(line, kind="stable")
+        line, sizes = line[order], sizes[order]
+        at = np.flatnonzero(np.diff(line, prepend=-1))
+        sizes = np.add.reduceat(sizes >> 1, at) * 2 + np.maximum.reduceat(sizes & 1, at)
+        begins = np.searchsorted(line[at] >> UNIT_BITS, np.arange(len(first)))
+        keys = [rows.column(c).take(pa.array(first)) for c in ("_unit", "_section")]
+        return pa.RecordBatch.from_arrays([*keys, _blobs((line[at] & 255).astype(np.uint8), begins), _blobs(sizes, begins)], rows.schema.names)
+
+    held = None
+    for b in batches:
+        rows = b if held is None else pa.concat_batches([held, b])
+        if rows.num_rows:
+            first = heads(rows)
+            last = int(first[-1])
+            if last:
+                yield merged(rows.slice(0, last), first[:-1])
+            held = rows.slice(last)
+    if held is not None:
+        yield merged(held, np.zeros(1, np.int64))
+
+
+def _lists(values: np.ndarray | pa.Array, offsets: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values) if isinstance(values, np.ndarray) else values)
+
+
+def _parts(places: np.ndarray, sizes: np.ndarray, cuts: np.ndarray, chunk: int) -> pa.ListArray:
+    """For each run of places an array for each 2**PLACE_BITS of them: the places in it from which on another file holds, times 2**32, plus that file."""
+    arrays = (sizes - 1 >> PLACE_BITS) + 1
+    outer = np.append(0, np.cumsum(arrays))
+    begins = np.repeat(places, arrays) + ((np.arange(outer[-1]) - np.repeat(outer[:-1], arrays)) << PLACE_BITS)
+    inside = np.searchsorted(places, cuts, "right") - 1
+    ok = inside >= 0
+    ok[ok] = cuts[ok] < (places + sizes)[inside[ok]]
+    told = np.union1d(begins, cuts[ok])
+    spot = told - begins[np.searchsorted(begins, told, "right") - 1]
+    return _lists(_lists(spot << 32 | chunk + np.searchsorted(cuts, told, "right"), np.append(np.searchsorted(told, begins), len(told))), outer)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_unit, _section, place, files, split, last) of units (_unit, _section, lines, sizes, head, body, room, chunk), sorted by section and unit.
+
+    ``place`` is that of the unit's first rule, from 0, ``last`` the file of its last rule.  ``files`` has the file of its first rule, and for each line that a file
+    begins in, the line times 2**33, plus 2**32 if one begins after the line's first rule, plus the file of its last rule.  ``split`` has the lines of
+    the second kind (k1) with their ``_parts``.  A unit with more than BEGUN of such lines has all its lines there, and -1 in ``files``.  A list begins with file ``chunk``; without ``room`` it has no other.
+
+    The first ``head`` rules of a list stand together.  A cut that falls inside rules that stand together moves to their start, but by a
+    rule at least.  A task holds one batch, so neither the lines of a list nor its files meet in memory.
+    """
+    now, at, chunk, pos = None, 0, 1, 0
     for b in batches:
-        lists, bodies, rooms, starts, sizes = b.columns
-        schema = pa.schema([("list_id", lists.type), ("chunk", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())])
-        starts, sizes, code = starts.to_numpy(), sizes.to_numpy(), lists.dictionary_encode().indices.to_numpy()
-        heads = np.flatnonzero(np.diff(code, prepend=-1)).tolist()
-        for a, z in zip(heads, [*heads[1:], len(code)], strict=True):
-            if now is None or lists[a].as_py() != now:
-                if now is not None:
-                    yield from finish()
-                now, body, room, at, chunk, last = lists[a].as_py(), bodies[a].as_py(), rooms[a].as_py(), 0, 1, (-1, 0)
-            own = starts[a:z]
-            while at + room < body and at + room <= own[-1]:  # ranges do not overlap: the last to start before a cut is the one it may hit
-                i = int(np.searchsorted(own, at + room)) - 1
-                cut(*((int(own[i]), int(sizes[a + i])) if i >= 0 else last))
-                if len(done) >= 10_000:
-                    yield written()
-            last = int(own[-1]), int(sizes[z - 1])
-        if done:
-            yield written()
-    if now is not None:
-        yield from finish()
-        yield written()
+        code = b.column("_section").to_numpy() >> SECTION_BITS
+        (lines, ends), (sizes, _) = _flat(b.column("lines"), np.uint8), _flat(b.column("sizes"), np.int64)
+        firsts = np.flatnonzero(np.diff(code, prepend=-1)).tolist()
+        for a, z in zip(firsts, [*firsts[1:], len(code)], strict=True):
+            head, body, room, begin = (b.column(c)[a].as_py() for c in ("head", "body", "room", "chunk"))
+            if code[a] != now:
+                now, at, chunk, pos = code[a], 0, begin, 0
+            unit, n, whole = b.column("_unit").slice(a, z - a), sizes[ends[a] : ends[z]] >> 1, sizes[ends[a] : ends[z]] & 1
+            first, starts = ends[a:z] - ends[a], pos + np.append(0, np.cumsum(n))
+            stop, places, cuts = int(starts[-1]), starts[first], []
+            if room is not None:
+                cuts = list(range(max(pos, 1), min(stop, head - room + 1)))  # a head that no file holds, rule by rule
+                at = cuts[-1] if cuts else at
+                while (end := at + room) < min(stop, body):
+                    i = int(np.searchsorted(starts, end, "right")) - 1
+                    at = max(int(starts[i]), at + 1) if whole[i] else end
+                    cuts.append(at)
+            cuts = np.array(cuts, np.int64)
+            file = lambda place: chunk + np.searchsorted(cuts, place, "right")  # noqa: B023, E731
+            line = np.searchsorted(starts, cuts, "right") - 1
+            begun, later = np.unique(line), np.unique(line[cuts > starts[line]])
+            here = lambda i: lines[ends[a] + i].astype(np.int64)  # noqa: B023, E731
+            of = np.searchsorted(first, begun, "right") - 1
+            many = np.bincount(of, minlength=z - a) > BEGUN
+            told = here(begun) << 33 | np.isin(begun, later).astype(np.int64) << 32 | file(starts[begun + 1] - 1)
+            told = np.concatenate([np.where(many, -1, file(places)), told[~many[of]]])
+            of = np.concatenate([np.arange(z - a), of[~many[of]]])
+            later = np.union1d(later, np.flatnonzero(np.repeat(many, np.diff(np.append(first, len(n))))))
+            order = np.lexsort((told, of))
+            files = _lists(told[order], np.searchsorted(of[order], np.arange(z - a + 1)))
+            owner = np.searchsorted(first, later, "right") - 1
+            k1 = unit.to_numpy()[owner] << UNIT_BITS | here(later)
+            split = pa.StructArray.from_arrays([pa.array(k1), _parts(starts[later], n[later], cuts, chunk)], ["k1", "parts"])
+            arrays = [unit, b.column("_section").slice(a, z - a), pa.array(places), files]
+            arrays += [_lists(split, np.searchsorted(owner, np.arange(z - a + 1))), pa.array(file(np.append(places[1:], stop) - 1).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, ["_unit", "_section", "place", "files", "split", "last"])
+            chunk, pos = chunk + len(cuts), stop
 
 
 def uncut(total: Column, tail: Column, max_rules: int, least: int | None = None) -> Column:
@@ -87,41 +184,54 @@ def uncut(total: Column, tail: Column, max_rules: int, least: int | None = None)
     return (total > max_rules) & (F.lit(max_rules) - tail < (least_room(max_rules) if least is None else max(1, least)))
 
 
-def chunk_cuts(groups: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(list_id, chunk, start, stop): the files of each list and the body positions in each.
+def units(rules: DataFrame, lists: DataFrame) -> DataFrame:
+    """Where each unit of a section's lines stands and which files begin in it, as ``_cut`` tells it.
 
-    ``groups`` has the atomic ranges (list_id, start, n) and ``sizes`` (list_id, body, room), one row a
-    list that is to be cut; a cut that falls inside a range moves to its start.  Ranges of one rule are never cut, so they are left out.
+    ``rules`` has (_section, k1, atomic) and ``lists`` (_list, head, body, room, chunk), one row a list.  Rules are counted where they are read;
+    only units, a row and their lines' sizes each, are dealt and sorted, and one task a list streams its own.
     """
-    ranges = groups.filter("n > 1").join(F.broadcast(sizes), "list_id").select("list_id", "body", "room", "start", "n")
-    heads = sizes.select("list_id", "body", "room", F.lit(-1).cast("long").alias("start"), F.lit(0).cast("long").alias("n"))
-    rows = heads.unionByName(ranges).repartition("list_id").sortWithinPartitions("list_id", "start")
-    return rows.mapInArrow(_cut, f"list_id {rows.schema['list_id'].dataType.simpleString()}, chunk int, start long, stop long")
+    keys, kind = ["_unit", "_section"], "_unit long, _section int"
+    counted = rules.select("k1", (F.col("_section") * 2 + F.col("atomic").cast("int")).alias("tag")).mapInArrow(_counted, f"{kind}, lines binary, sizes binary")
+    merged = counted.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merged, f"{kind}, lines binary, sizes binary")
+    rows = merged.withColumn("_list", F.shiftright("_section", SECTION_BITS)).join(F.broadcast(lists), "_list").repartition("_list").sortWithinPartitions("_section", "_unit")
+    told = "place long, files array<long>, split array<struct<k1: long, parts: array<array<long>>>>, last int"
+    return rows.select(*keys, "lines", "sizes", "head", "body", "room", "chunk").mapInArrow(_cut, f"{kind}, {told}")
 
 
 def chunks(rules: DataFrame, max_rules: int, least: int | None = None) -> DataFrame:
-    """Adds ``chunk`` (from 1); the exceptions at the end stand in every chunk.
+    """Adds ``position``, the place of a rule in its list's output, from 1, and ``chunk`` (from 1); the exceptions at the end stand in every chunk.
 
     A list whose exceptions leave room for fewer than ``least`` rules a file can't be cut: its rules have no chunk (null), other lists are cut.
+    Rules are sorted only for lines that a file begins in after their first rule, and where many files begin; other lines lie in one file as a whole.
     """
-    tail = F.col("bucket") >= TAIL
-    sizes = rules.groupBy("list_id").agg(F.count("*").alias("total"), F.count_if(tail).alias("tail"))
-    sizes = sizes.withColumns({"body": F.col("total") - F.col("tail"), "room": F.lit(max_rules) - F.col("tail"), "uncut": uncut(F.col("total"), F.col("tail"), max_rules, least)})
-    placed = assemble(rules).withColumn("at", F.col("position") - 1)
-    head = rules.filter(F.col("bucket") <= BUCKET["generichide"]).groupBy("list_id").agg(F.lit(0).cast("long").alias("start"), F.count("*").alias("n"))
-    groups = placed.filter("atomic").groupBy("list_id", "k1").agg(F.min("at").alias("start"), F.count("*").alias("n")).drop("k1").unionByName(head)
-    cuts = chunk_cuts(groups, sizes.filter((F.col("total") > max_rules) & ~F.col("uncut")).select("list_id", "body", "room"))
-    files = sizes.join(cuts.groupBy("list_id").agg(F.max("chunk").alias("_files")), "list_id", "left")
-    files = files.select("list_id", F.when(~F.col("uncut"), F.coalesce("_files", F.lit(1))).alias("_files"))
-    blocks = cuts.filter("stop > start").select("list_id", F.explode(F.sequence(F.shiftright("start", PLACE_BITS), F.shiftright(F.col("stop") - 1, PLACE_BITS))).alias("_block"), F.struct("start", "chunk").alias("_begin"))
-    blocks = blocks.groupBy("list_id", "_block").agg(F.collect_list("_begin").alias("_begins"))
-    rows = placed.join(F.broadcast(files), "list_id")  # a row a list
-    body = rows.filter(~tail).withColumn("_block", F.shiftright("at", PLACE_BITS)).join(blocks, ["list_id", "_block"], "left")
-    begun = F.filter("_begins", lambda x: x["start"] <= F.col("at"))
-    own = F.when(F.col("_files") == 1, 1).when(F.col("_files") > 1, F.array_max(F.transform(begun, lambda x: x["chunk"])))
-    body = body.withColumn("chunk", own).drop("_block", "_begins")
-    every = F.when(F.col("_files").isNull(), F.array(F.lit(None).cast("int"))).otherwise(F.sequence(F.lit(1), F.col("_files")))
-    return body.unionByName(rows.filter(tail).withColumn("chunk", F.explode(every))).drop("at", "_files")
+    tail, keys, line = F.col("bucket") >= TAIL, ["_unit", "_section"], ["_section", "k1"]
+    lists = rules.groupBy("list_id").agg(F.count("*").alias("total"), F.count_if(tail).alias("tail"), F.count_if(F.col("bucket") <= BUCKET["generichide"]).alias("head"))
+    none = uncut(F.col("total"), F.col("tail"), max_rules, least)
+    room = F.when((F.col("total") > max_rules) & ~none, F.lit(max_rules) - F.col("tail"))
+    number = F.row_number().over(W.orderBy("list_id")).alias("_list")  # a row a list
+    lists = lists.select("list_id", number, "head", (F.col("total") - F.col("tail")).alias("body"), room.alias("room"), F.when(none, 0).otherwise(1).alias("chunk"))
+    rows = rules.join(F.broadcast(lists.select("list_id", "_list")), "list_id")
+    rows = rows.withColumn("_section", F.shiftleft("_list", SECTION_BITS) + F.col("bucket").cast("int")).drop("_list").withColumn("_unit", block("k1", UNIT_BITS))
+    cut = units(rows, lists.drop("list_id"))
+    rows = rows.withColumn("_at", F.row_number().over(W.partitionBy(*keys).orderBy("k1", "k2", "k3")))  # pruned where nobody asks for positions
+    placed = rows.join(cut.select(*keys, "place", "files").hint("shuffle_hash"), keys).withColumn("position", F.col("place") + F.col("_at"))
+    chunk = lambda x: F.nullif(x.bitwiseAND((1 << 31) - 1).cast("int"), F.lit(0))
+    own = F.col("k1").bitwiseAND((1 << UNIT_BITS) - 1)
+    told = [F.get("files", F.lit(i)) for i in range(BEGUN + 1)]  # a lambda would keep this out of the generated code
+    met = F.greatest(told[0], *[F.when(x < F.shiftleft(own + 1, 33), x) for x in told[1:]])
+    apart = (met < 0) | (F.shiftright(met, 32) == F.shiftleft(own, 1) + 1)
+    body = placed.filter(~tail & ~apart).withColumn("chunk", chunk(met))
+    split = cut.select("_section", "place", F.explode("split").alias("_line")).select("_section", "place", "_line.*")
+    few = rows.filter(~tail).join(split.select(*line).hint("shuffle_hash"), line, "left_semi")
+    few = few.withColumn("_spot", F.row_number().over(W.partitionBy(*line).orderBy("k2", "k3")) - 1).withColumn("_part", F.shiftright("_spot", PLACE_BITS))
+    few = few.join(split.select(*line, "place", F.posexplode("parts").alias("_part", "_begun")).hint("shuffle_hash"), [*line, "_part"]).withColumn("position", F.col("place") + F.col("_at"))
+    after = F.shiftleft((F.col("_spot").bitwiseAND((1 << PLACE_BITS) - 1) + 1).cast("long"), 32)
+    few = few.withColumn("chunk", chunk(F.array_max(F.filter("_begun", lambda x: x < after))))
+    files = cut.groupBy(F.shiftright("_section", SECTION_BITS).alias("_list")).agg(F.max("last").alias("_files"))
+    ends = placed.filter(tail).withColumn("_list", F.shiftright("_section", SECTION_BITS)).join(F.broadcast(files), "_list")  # a row a list
+    ends = ends.withColumn("chunk", F.explode(F.when(F.col("_files") == 0, F.array(F.lit(None).cast("int"))).otherwise(F.sequence(F.lit(1), F.col("_files")))))
+    columns = [*rules.columns, "position", "chunk"]
+    return body.select(columns).unionByName(few.select(columns)).unionByName(ends.select(columns))
 
 
 # ----------------------------------------------------------------------- reports

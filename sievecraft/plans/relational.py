@@ -293,8 +293,8 @@ SELECT list_id, count(*) AS n, count(DISTINCT l_orderkey) AS groups_, 0 AS cut_g
 def so04_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of an order are atomic: how many orders are cut, whatever the size of files."""
     rows = syn.sql(spark, sf_dir, "SELECT * FROM lineitem").select(F.col("l_returnflag").alias("list_id"), F.lit(2).alias("bucket"), F.col("l_orderkey").alias("k1"), F.col("l_linenumber").cast("long").alias("k2"), F.lit(0).cast("long").alias("k3"), F.lit(True).alias("atomic"))
-    spread = output.chunks(rows, 1000).groupBy("list_id", "k1").agg(F.count("*").alias("n"), F.countDistinct("chunk").alias("files"))
-    return spread.groupBy("list_id").agg(F.sum("n").alias("n"), F.count("*").alias("groups_"), F.count_if(F.col("files") > 1).cast("int").alias("cut_groups"))
+    spread = output.chunks(rows, 1000).groupBy("list_id", "k1").agg(F.count("*").alias("n"), (F.min("chunk") < F.max("chunk")).alias("cut"))
+    return spread.groupBy("list_id").agg(F.sum("n").alias("n"), F.count("*").alias("groups_"), F.count_if("cut").cast("int").alias("cut_groups"))
 
 
 # ----------------------------------------------------------------------- reports

@@ -79,3 +79,27 @@ def test_many_files(spark):
 def test_many_atomic_files(spark):
     """The same where all rules stand in atomic ranges."""
     many_files(spark, True)
+
+
+def test_only_split_lines_are_sorted(spark):
+    """Rules of lines that lie in one file as a whole are met by units of lines, unsorted: one window is left, of the few lines that are split."""
+    df = spark.createDataFrame([("l", BUCKET["block"], k, j, 0, True) for k in range(9) for j in range(3)], SCHEMA)
+    told = output.chunks(df, 10).groupBy("list_id", "k1").agg(F.min("chunk"), F.max("chunk"))
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert "SortMergeJoin" not in told._jdf.queryExecution().executedPlan().toString()
+    assert sum("row_number" in x and "k2" in x for x in plan.splitlines()) == 1
+    assert sorted((r.k1, *r[2:]) for r in told.collect()) == [(k, k // 3 + 1, k // 3 + 1) for k in range(9)]
+
+
+def test_long_lines_wide_heads_and_far_keys(spark):
+    """Lines of many places, a head that no file holds, units with many files, keys too far apart to be counted together; rows in any order."""
+    rows = [("long", BUCKET["block"], k, j, 0, False) for k, n in ((3, 700), (4, 1), (300, 900), (1 << 61, 2), (-(1 << 61), 40)) for j in range(n)]
+    rows += [("whole", BUCKET["block"], k, j, 0, k % 2 == 0) for k, n in ((1, 5), (2, 600), (3, 300), (520, 30), (521, 90)) for j in range(n)] + [("whole", BUCKET["exception"], 9, 0, 0, False)]
+    rows += [("head", BUCKET["generic_css"], 0, 0, j, False) for j in range(70)] + [("head", BUCKET["generichide"], k, 0, 0, False) for k in range(9)] + [("head", BUCKET["block"], k, 0, 0, False) for k in range(60)]
+    random.Random(5).shuffle(rows)
+    got = output.chunks(spark.createDataFrame(rows, SCHEMA).repartition(3), 50, 1)
+    told = got.select("list_id", "bucket", "k1", "k2", "k3", "position", "chunk").collect()
+    assert sorted((r.list_id, r.bucket, r.k1, r.k2, r.chunk) for r in told) == sorted((r[0], r[1], r[2], r[3], r[4]) for r in plain(rows, 50, 1))
+    for name in ("long", "whole", "head"):
+        own = sorted({(r.bucket, r.k1, r.k2, r.k3, r.position) for r in told if r.list_id == name})
+        assert [x[4] for x in own] == list(range(1, len(own) + 1))
