@@ -52,7 +52,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
 
     def packed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        k1, tag, values = rows.column("k1").to_numpy(), rows.column("tag").to_numpy().astype(np.int64), None
+        k1, tag, values = rows.column("k1").to_numpy(), rows.column("tag").to_numpy(), None
         section = tag >> 1
         lowest, least, span = int(section.min()), int(k1.min()), int(k1.max()) - int(k1.min()) + 1
         if (int(section.max()) - lowest + 1) * span >= 1 << 61:
@@ -191,7 +191,7 @@ def units(rules: DataFrame, lists: DataFrame) -> DataFrame:
     only units, a row and their lines' sizes each, are dealt and sorted, and one task a list streams its own.
     """
     keys, kind = ["_unit", "_section"], "_unit long, _section int"
-    counted = rules.select("k1", (F.col("_section") * 2 + F.col("atomic").cast("int")).alias("tag")).mapInArrow(_counted, f"{kind}, lines binary, sizes binary")
+    counted = rules.select("k1", (F.col("_section").cast("long") * 2 + F.col("atomic").cast("long")).alias("tag")).mapInArrow(_counted, f"{kind}, lines binary, sizes binary")
     merged = counted.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merged, f"{kind}, lines binary, sizes binary")
     rows = merged.withColumn("_list", F.shiftright("_section", SECTION_BITS)).join(F.broadcast(lists), "_list").repartition("_list").sortWithinPartitions("_section", "_unit")
     told = "place long, files array<long>, split array<struct<k1: long, parts: array<array<long>>>>, last int"
